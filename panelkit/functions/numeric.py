@@ -13,14 +13,11 @@ def round_half_away(value: Column, digits: int) -> Column:
     scaled form gives the same bits in every IEEE engine.
     """
     scale = 10.0**digits
-    scaled_up = F.floor(value * scale + 0.5)
-    scaled_down = -F.floor(-value * scale + 0.5)
-    return (
-        # such large doubles have no digits left to round
-        F.when(F.abs(value) >= 2.0**52 / scale, value)
-        .when(value < 0, scaled_down.cast("double") / scale)
-        .otherwise(scaled_up.cast("double") / scale)
-    )
+    size = F.abs(value)
+    # adding zero turns a negative zero into a plain one
+    rounded = F.signum(value) * F.floor(size * scale + 0.5) / scale + 0.0
+    # such large doubles have no digits left to round
+    return F.when(size < 2.0**52 / scale, rounded).otherwise(value)
 
 
 def round_exact(value: Column, digits: int) -> Column:
