@@ -644,7 +644,7 @@ from events"""
     )
     out["dq_set_equality"] = """select coalesce(l.c_custkey, r.o_custkey) as c_custkey, l.c_custkey is not null as in_left,
        r.o_custkey is not null as in_right
-from customer l full outer join (select distinct o_custkey from orders) r on l.c_custkey = r.o_custkey
+from customer l full outer join (select distinct o_custkey from orders where o_orderstatus = 'P') r on l.c_custkey = r.o_custkey
 where l.c_custkey is null or r.o_custkey is null"""
     out["dq_domain"] = """select coalesce(l.s, r.s) as o_orderstatus, l.s is not null as in_left, r.s is not null as in_right
 from (select distinct o_orderstatus as s from orders) l full outer join (values ('F'), ('O'), ('X')) r(s) on l.s = r.s

@@ -17,6 +17,7 @@ from panelkit.config import GridLayout
 from panelkit.functions import numeric, text
 from panelkit.operators.ordered import BLOCK_ROWS, carry_forward, cut_block, number_in_group
 from panelkit.operators.panel import GROUP, MEMBER, NATIONAL
+from panelkit.sources.staging import stage, together
 
 HEADER, CHILD = "header", "child"
 
@@ -134,11 +135,14 @@ def parse_grid(
     """Sheets to the member panel and the published panel.
 
     Label rows and period columns are settled first, on their own small tables.
-    The cells are then joined to both and decoded in a single pass.
+    The cells are then joined to both and decoded in a single pass; the decoded
+    cells are stored, because both panels and the error list read them.
     """
-    rows = classify_rows(cells, headers, aliases or {}, layout)
-    periods = period_map(cells, layout)
-    tree = hierarchy(rows, self_names, layout)
+    rows, periods = together(
+        lambda: stage(classify_rows(cells, headers, aliases or {}, layout), "grid-rows"),
+        lambda: stage(period_map(cells, layout), "grid-periods"),
+    )
+    tree = stage(hierarchy(rows, self_names, layout), "grid-tree")
 
     published_rows = rows.filter(F.col("kind") != CHILD).select(
         "sheet", "row", F.when(F.col("kind") == NATIONAL, NATIONAL).otherwise(GROUP).alias("level"), F.col("label").alias("header"),
@@ -164,6 +168,7 @@ def parse_grid(
             text.sentinel_flag(F.col("num"), F.col("txt"), layout.not_representative).alias("value_flag"),
         )
     )
+    values = stage(values, "grid-values")
     members = values.filter(F.col("level") == MEMBER).select(
         F.col("header").alias("group_header"),
         F.col("member").alias("member_label"),

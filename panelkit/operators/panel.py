@@ -260,6 +260,9 @@ def trend_by_group(
     levels = groups.select(
         "group_code",
         "year",
+        "group_name",
+        "is_single_member_group",
+        "is_autonomous",
         "value",
         "value_source",
         "periods_available",
@@ -268,17 +271,20 @@ def trend_by_group(
         "n_members",
     )
     complete = F.col("is_complete_year")
+    entity = Window.partitionBy("group_code")
+    # the attributes of a group do not change over time; the rebasing already
+    # brings its years together, which saves a join of the attributes
+    attributes = ("group_name", "is_single_member_group", "is_autonomous")
     grown = align_panels(index_wide, levels).select(
-        "*",
+        *[c for c in [*index_wide.columns, *levels.columns[2:]] if c not in attributes],
+        *[F.max(name).over(entity).alias(name) for name in attributes],
         gated_yoy(F.col("value"), complete).alias("value_yoy_pct"),
         rebase(F.col("index_general"), base_year).alias("index_rebased"),
         rebase(F.col("value"), base_year, gate=complete, gate_base=strict_complete).alias("value_rebased"),
     )
-    attributes = groups.select("group_code", "group_name", "is_single_member_group", "is_autonomous").distinct()
     iso = mapping.select("group_code", "group_iso_code").distinct()
     return (
-        grown.join(attributes, "group_code", "left")
-        .join(iso, "group_code", "left")
+        grown.join(iso, "group_code", "left")
         .select(
             "group_code",
             "group_name",

@@ -1,8 +1,9 @@
-"""Global ranks and medians without a single-task window.
+"""Global ranks and medians at any number of rows.
 
-``rank() over (order by x)`` sends every row to one task. Here the distinct
-values are counted first, so ties of any size shrink to one row; the distinct
-values are then cut into ranges whose totals give each range its offset.
+``rank() over (order by x)`` sends every row to one task. That is fine for a
+table whose counted size is small; beyond it the distinct values are counted
+first, so ties of any size shrink to one row, and are then cut into ranges whose
+totals give each range its offset.
 """
 
 from __future__ import annotations
@@ -10,7 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.sources.staging import Counted
+
 RANGES = 200
+# Rows that a single task may rank.
+SMALL_ROWS = 100_000
 
 
 def value_positions(df: DataFrame, value: str, ranges: int = RANGES) -> DataFrame:
@@ -41,15 +46,24 @@ def value_positions(df: DataFrame, value: str, ranges: int = RANGES) -> DataFram
     )
 
 
-def with_rank(df: DataFrame, value: str, rank: str, total: str | None = None) -> DataFrame:
+def with_rank(
+    stored: Counted, value: str, rank: str, total: str | None = None, small_rows: int = SMALL_ROWS
+) -> DataFrame:
     """Rank by descending value: ties share a rank, gaps follow, NULL ranks last."""
+    df = stored.frame
+    if stored.rows <= small_rows:
+        order = Window.orderBy(F.col(value).desc_nulls_last())
+        ranked = df.withColumn(rank, F.rank().over(order).cast("bigint"))
+    else:
+        ranked = _ranked_by_ranges(df, value, rank)
+    return ranked if total is None else ranked.withColumn(total, F.lit(stored.rows).cast("bigint"))
+
+
+def _ranked_by_ranges(df: DataFrame, value: str, rank: str) -> DataFrame:
     positions = value_positions(df, value).select(
         F.col("value").alias("__v"), (F.col("before") + 1).cast("bigint").alias(rank)
     )
-    ranked = df.join(positions, F.col(value).cast("double").eqNullSafe(F.col("__v")), "left").drop("__v")
-    if total is None:
-        return ranked
-    return ranked.withColumn(total, row_count(df))
+    return df.join(positions, F.col(value).cast("double").eqNullSafe(F.col("__v")), "left").drop("__v")
 
 
 def row_count(df: DataFrame) -> Column:

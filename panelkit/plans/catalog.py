@@ -5,6 +5,7 @@ Each takes a session and the folder of the Parquet tables and returns a frame.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -16,7 +17,7 @@ from panelkit.operators import checks, grid, growth, ordered, panel, profiling
 from panelkit.plans import index_file, marts, trade
 from panelkit.plans.trade import CONFIG
 from panelkit.sources import tables
-from panelkit.sources.staging import shared_dir, stage
+from panelkit.sources.staging import shared_dir, stage, stage_counted
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,7 +58,12 @@ class Trade:
 
     @cached_property
     def inputs(self) -> marts.PanelInputs:
-        return marts.PanelInputs(self.index_long, self.members, self.published, self.mapping)
+        """Both sides as stored tables, for the models that bring them together."""
+        return trade.panel_inputs(self.spark, self.sf_dir, self.min_obs)
+
+    @cached_property
+    def stored_annual(self) -> DataFrame:
+        return stage(marts.annual_model(self.inputs, CONFIG), "annual")
 
     @cached_property
     def annual(self) -> DataFrame:
@@ -69,7 +75,16 @@ class Trade:
 
     @cached_property
     def trend(self) -> DataFrame:
-        return marts.trend_model(self.inputs, stage(self.groups, "groups"), CONFIG)
+        groups = marts.group_model(self.stored_annual, self.inputs.mapping, CONFIG)
+        return marts.trend_model(self.inputs, groups, CONFIG)
+
+    @cached_property
+    def stored_trend(self) -> DataFrame:
+        return stage(self.trend, "trend")
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return growth.growth_summary(self.stored_annual, self.stored_trend, self.inputs.mapping, CONFIG)
 
     @cached_property
     def models(self) -> marts.Models:
@@ -79,7 +94,8 @@ class Trade:
     def cells(self) -> DataFrame:
         members = trade.member_quarter(self.mapping, self.order_totals, self.min_obs)
         published = trade.published_quarter(self.mapping, self.order_totals, self.min_obs)
-        return stage(trade.sheet_cells(self.mapping, members, published), "cells")
+        values = stage(trade.sheet_values(self.mapping, members, published), "sheet-values")
+        return stage(trade.sheet_cells(values), "cells")
 
     @cached_property
     def parsed(self) -> grid.GridResult:
@@ -212,14 +228,14 @@ def growth_windows(t: Trade) -> DataFrame:
 
 @query
 def benchmark_growth(t: Trade) -> DataFrame:
-    members = growth.member_pivot(t.annual, t.mapping, CONFIG).select("member_code", "group_code")
-    groups = growth.group_pivot(stage(t.trend, "trend"), CONFIG)
+    members = growth.member_pivot(t.stored_annual, t.inputs.mapping, CONFIG).select("member_code", "group_code")
+    groups = growth.group_pivot(t.stored_trend, CONFIG)
     return growth.benchmark_growth(members, groups, CONFIG.national_code)
 
 
 @query
 def mart_growth_summary(t: Trade) -> DataFrame:
-    return t.models.summary
+    return t.summary
 
 
 def customer_growth(t: Trade) -> DataFrame:
@@ -246,22 +262,24 @@ def customer_growth(t: Trade) -> DataFrame:
 
 @query
 def rank_groups(t: Trade) -> DataFrame:
-    return growth.rank_groups(stage(customer_growth(t), "customer-growth"), top_n=CONFIG.top_n)
+    ranked = stage_counted(customer_growth(t), "customer-growth")
+    # ranked by value ranges whatever the scale
+    return growth.rank_groups(ranked, top_n=CONFIG.top_n, small_rows=0)
 
 
 @query
 def finding_spread(t: Trade) -> DataFrame:
-    return growth.spread(t.models.summary, CONFIG.top_n)
+    return growth.spread(stage(t.summary, "summary"), CONFIG.top_n)
 
 
 @query
 def finding_group_gap(t: Trade) -> DataFrame:
-    return growth.group_gap(t.models.summary)
+    return growth.group_gap(t.summary)
 
 
 @query
 def finding_source_lag(t: Trade) -> DataFrame:
-    return growth.source_lag(stage(t.trend, "trend"), CONFIG)
+    return growth.source_lag(t.stored_trend, CONFIG)
 
 
 # -- hierarchy by row order -----------------------------------------------------
@@ -506,7 +524,7 @@ def dq_reverse_coverage(t: Trade) -> DataFrame:
 
 @query
 def dq_set_equality(t: Trade) -> DataFrame:
-    buyers = t.table("orders").select(F.col("o_custkey").alias("c_custkey"))
+    buyers = t.table("orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
     return checks.set_equality(t.table("customer"), buyers, "c_custkey")
 
 
@@ -567,10 +585,15 @@ def dq_suite(t: Trade) -> DataFrame:
 # -- sources and sinks ----------------------------------------------------------
 
 
+RAW = "panelkit_raw"
+
+
 def _replaced(t: Trade, name: str) -> str:
     spark = t.spark
-    tables.create_namespace(spark, "panelkit_raw", "Raw panel tables", f"{shared_dir(spark)}/panelkit_raw")
-    return f"panelkit_raw.{name}"
+    # a folder of its own: the shared one outlives the catalog of a session
+    tables.create_namespace(spark, RAW, "Raw panel tables", f"{shared_dir(spark)}/{RAW}-{uuid.uuid4().hex}")
+    spark.sql(f"DROP TABLE IF EXISTS {RAW}.{name}")
+    return f"{RAW}.{name}"
 
 
 @query
@@ -580,7 +603,7 @@ def load_and_reconcile(t: Trade) -> DataFrame:
     name = _replaced(t, "member_quarter")
     tables.load_table(raw, name, marts.MEMBER_SCHEMA)
     tables.load_table(raw, name, marts.MEMBER_SCHEMA)
-    return tables.source(t.spark, "panelkit_raw", "member_quarter")
+    return tables.source(t.spark, RAW, "member_quarter")
 
 
 def written_index(t: Trade) -> str:
@@ -593,8 +616,8 @@ def written_index(t: Trade) -> str:
     columns = [code, F.col("index_type"), F.col("metric_type"), F.col("year").cast("string"), value]
     # the mark stands before the first name of the header line of every file
     names = ["\ufeff" + index_file.INDEX_HEADER[0], *index_file.INDEX_HEADER[1:]]
-    path = f"{shared_dir(t.spark)}/index-file"
-    raw.select(*[c.alias(n) for c, n in zip(columns, names)]).write.mode("overwrite").csv(path, sep="\t", header=True)
+    path = f"{shared_dir(t.spark)}/index-file-{uuid.uuid4().hex}"
+    raw.select(*[c.alias(n) for c, n in zip(columns, names)]).write.csv(path, sep="\t", header=True)
     return path
 
 

@@ -18,7 +18,7 @@ from panelkit.functions import numeric, text
 from panelkit.operators import panel
 from panelkit.plans.index_file import stage_index
 from panelkit.plans.marts import PanelInputs, stage_members, stage_published
-from panelkit.sources.staging import stage
+from panelkit.sources.staging import stage, together
 
 CONFIG = PanelConfig(base_year=1996, recent_base_year=1998, last_full_year=2000)
 MIN_OBS = 10
@@ -147,7 +147,10 @@ def published_quarter(map_df: DataFrame, totals: DataFrame, min_obs: int = MIN_O
 
 
 def line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line prices and counts per nation of the supplier, ship year and return flag, stored."""
+    """Line prices and counts per nation of the supplier, ship year and return flag.
+
+    Read by a single branch, hence not stored.
+    """
     per_supplier = (
         table(spark, sf_dir, "lineitem")
         .filter(F.col("l_shipdate") >= F.lit(f"{INDEX_FIRST_YEAR}-01-01").cast("timestamp_ntz"))
@@ -158,14 +161,13 @@ def line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    totals = (
+    return (
         per_supplier.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("s_nationkey", "year", "l_returnflag")
         .agg(F.sum(F.col("units").cast("decimal(38,0)")).alias("units"), F.sum("n").alias("n"))
         .withColumn("member_code", F.lpad(F.col("s_nationkey").cast("string"), 2, "0"))
         .drop("s_nationkey")
     )
-    return stage(totals, "line-totals")
 
 
 def index_raw(map_df: DataFrame, totals: DataFrame) -> DataFrame:
@@ -217,14 +219,29 @@ def index_raw(map_df: DataFrame, totals: DataFrame) -> DataFrame:
 
 
 def panel_inputs(spark: SparkSession, sf_dir: str, min_obs: int = MIN_OBS) -> PanelInputs:
-    """The four inputs of the panel models; one pass over each fact table."""
-    map_df = mapping(spark, sf_dir)
-    orders = order_totals(spark, sf_dir)
-    lines = line_totals(spark, sf_dir)
+    """The four inputs of the panel models as stored tables; one pass over each fact table.
+
+    The index side and the level side have nothing in common but the mapping,
+    so they run at the same time.
+    """
+    map_df = stage(mapping(spark, sf_dir), "mapping")
+
+    def level_tables() -> tuple[DataFrame, DataFrame]:
+        orders = order_totals(spark, sf_dir)
+        return tuple(
+            together(
+                lambda: stage(member_quarter(map_df, orders, min_obs), "members"),
+                lambda: stage(published_quarter(map_df, orders, min_obs), "published"),
+            )
+        )
+
+    (members, published), index = together(
+        level_tables, lambda: stage(index_raw(map_df, line_totals(spark, sf_dir)), "index")
+    )
     return PanelInputs(
-        index_long=stage_index(index_raw(map_df, lines), CONFIG.national_code),
-        members=stage_members(member_quarter(map_df, orders, min_obs)),
-        published=stage_published(published_quarter(map_df, orders, min_obs)),
+        index_long=stage_index(index, CONFIG.national_code),
+        members=stage_members(members),
+        published=stage_published(published),
         mapping=map_df,
     )
 
@@ -236,8 +253,8 @@ HEADERS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST", SINGLE_HEADER,
 SELF_NAMES = {SINGLE_HEADER: "NATION_22"}
 
 
-def sheet_cells(map_df: DataFrame, members: DataFrame, published: DataFrame) -> DataFrame:
-    """Sheets of four years: total, headers, members, a footnote and a stray row below it.
+def sheet_values(map_df: DataFrame, members: DataFrame, published: DataFrame) -> DataFrame:
+    """The value cells of sheets of four years each: total, headers and members.
 
     Row and column numbers follow from the codes, so nothing is numbered over
     the whole table. A header with a single member has no member row.
@@ -262,11 +279,16 @@ def sheet_cells(map_df: DataFrame, members: DataFrame, published: DataFrame) ->
     )
     flag = F.col("value_flag")
     coded = F.when(flag == text.NOT_REPRESENTATIVE, F.when(quarter == 1, "N.R").otherwise(" n.r")).when(flag.isNotNull(), "")
-    values = children.unionByName(heads).select(
+    return children.unionByName(heads).select(
         _sheet(year).alias("sheet"), "row", "label", col.cast("bigint").alias("col"), "year", "quarter",
         F.col("value").alias("num"), coded.alias("txt"),
     )
 
+
+def sheet_cells(values: DataFrame) -> DataFrame:
+    """The value cells with labels and headings, a footnote and a stray row below it."""
+    first = LAYOUT.first_data_row
+
     def cell(df: DataFrame, row: Column, column: Column, txt: Column) -> DataFrame:
         return df.select(
             "sheet", row.cast("bigint").alias("row"), column.cast("bigint").alias("col"),

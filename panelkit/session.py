@@ -17,6 +17,8 @@ def local_session(cores: int | str = "*", app: str = "panelkit", memory: str = "
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # call sites are looked up for every column expression otherwise
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")

@@ -9,8 +9,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -35,3 +39,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@dataclass(frozen=True)
+class Counted:
+    """A stored frame and the number of its rows."""
+
+    frame: DataFrame
+    rows: int
+
+
+def stage_counted(df: DataFrame, name: str) -> Counted:
+    """Stage a frame and count its rows while they are written."""
+    seen = Observation()
+    stored = stage(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return Counted(stored, seen.get["n"])
+
+
+def together(*jobs: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Run independent jobs at the same time, so that one fills the gaps of another."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
