@@ -7,11 +7,15 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The code points that a Unicode-aware \s matches.
+# The code points that a Unicode-aware \s matches, as a class and as a text.
 WHITESPACE = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
     r"\x{202f}\x{205f}\x{3000}]"
 )
+WHITESPACE_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Texts that a delimited field may hold for "missing".
 MISSING_TOKENS = (
@@ -26,7 +30,7 @@ NOT_REPRESENTATIVE = "not_representative"
 
 def strip(text: Column) -> Column:
     """Trim every kind of whitespace, the no-break space included."""
-    return F.regexp_replace(text, rf"^{WHITESPACE}+|{WHITESPACE}+\z", "")
+    return F.btrim(text, F.lit(WHITESPACE_CHARACTERS))
 
 
 def normalise_label(text: Column) -> Column:
@@ -55,7 +59,7 @@ def code_name(text: Column, digits: int = 2) -> Column:
 
 
 def _prefixed(digits: int) -> str:
-    return rf"^(?:([0-9]{{{digits}}}){WHITESPACE}+)?(.+)$"
+    return rf"^(?:(\p{{Nd}}{{{digits}}}){WHITESPACE}+)?([^\n]+)\z"
 
 
 def locale_number(text: Column, strict: bool = True, tokens: tuple[str, ...] = ("",)) -> Column:

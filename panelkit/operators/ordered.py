@@ -4,6 +4,8 @@ A window partitioned by a sheet puts the whole sheet into one task. Here the
 positions of a group are cut into blocks of bounded length: one small row per
 block carries what the following blocks need, and the rows themselves are only
 ever sorted inside (group, block).
+
+Positions are whole numbers, unique within a group; group keys are not NULL.
 """
 
 from __future__ import annotations
@@ -20,17 +22,12 @@ _CARRIED = "__carried"
 _OWN = "__own"
 
 
-def _block_of(position: str, block_rows: int) -> Column:
-    return F.floor(F.col(position) / F.lit(block_rows)).cast("bigint")
+def _with_block(df: DataFrame, position: str, block_rows: int) -> DataFrame:
+    return df.withColumn(_BLOCK, F.expr(f"`{position}` div {block_rows}"))
 
 
-def _attach(rows: DataFrame, blocks: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Add block columns to the rows of the block; one match per row."""
-    side = blocks.select(*[F.col(k).alias(f"__b_{k}") for k in keys], *columns)
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).eqNullSafe(F.col(f"__b_{key}"))
-    return rows.join(side, condition, "left").drop(*[f"__b_{k}" for k in keys])
+def _earlier(keys: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def carry_forward(
@@ -43,20 +40,25 @@ def carry_forward(
 ) -> DataFrame:
     """The last non-NULL value at or before each row, in position order.
 
-    Positions are whole numbers, unique within a group.
+    Only positions are aggregated per block. The values themselves, which may
+    be long texts, are fetched for the few blocks that inherit one, so the rows
+    are shuffled once, by (group, block).
     """
-    marked = df.withColumn(_OWN, value).withColumn(_BLOCK, _block_of(position, block_rows))
+    marked = _with_block(df.withColumn(_OWN, value), position, block_rows)
     group = [*keys, _BLOCK]
-    blocks = marked.groupBy(*group).agg(
-        F.max(F.when(F.col(_OWN).isNotNull(), F.struct(F.col(position).alias("at"), F.col(_OWN).alias("value")))).alias("last")
+    held = F.max(F.when(F.col(_OWN).isNotNull(), F.col(position)))
+    inherited = (
+        marked.groupBy(*group)
+        .agg(held.alias("last"))
+        .select(*group, F.max("last").over(_earlier(keys)).alias(position))
+        .filter(F.col(position).isNotNull())
     )
-    earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn(_CARRIED, F.last("last", ignorenulls=True).over(earlier)["value"])
+    carried = marked.select(*keys, position, F.col(_OWN).alias(_CARRIED)).join(inherited, [*keys, position])
     inside = Window.partitionBy(*group).orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        _attach(marked, blocks, group, [_CARRIED])
+        marked.join(carried.select(*group, _CARRIED), group, "left")
         .withColumn(out, F.coalesce(F.last(_OWN, ignorenulls=True).over(inside), F.col(_CARRIED)))
-        .drop(_OWN, _BLOCK, _CARRIED)
+        .select(*df.columns, out)
     )
 
 
@@ -64,16 +66,18 @@ def number_in_group(
     df: DataFrame, keys: Sequence[str], position: str, out: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """1, 2, 3, ... within each group, in position order."""
-    marked = df.withColumn(_BLOCK, _block_of(position, block_rows))
+    marked = _with_block(df, position, block_rows)
     group = [*keys, _BLOCK]
-    earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = marked.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    blocks = blocks.withColumn(_CARRIED, F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    offsets = (
+        marked.groupBy(*group)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(*group, F.coalesce(F.sum("n").over(_earlier(keys)), F.lit(0)).alias(_CARRIED))
+    )
     inside = Window.partitionBy(*group).orderBy(position)
     return (
-        _attach(marked, blocks, group, [_CARRIED])
+        marked.join(offsets, group, "left")
         .withColumn(out, F.row_number().over(inside) + F.col(_CARRIED))
-        .drop(_BLOCK, _CARRIED)
+        .select(*df.columns, out)
     )
 
 
@@ -86,15 +90,19 @@ def cut_block(
 ) -> DataFrame:
     """The rows of each group before its first stop row.
 
-    The first stop is found per block and spread over the few blocks of the
-    group, so no key of the final join holds more than one block of rows.
+    The first stop is found per block and spread over the blocks of the group,
+    so no key of the final join holds more than one block of rows.
     """
-    marked = df.withColumn(_BLOCK, _block_of(position, block_rows))
+    marked = _with_block(df, position, block_rows)
     group = [*keys, _BLOCK]
-    blocks = marked.groupBy(*group).agg(F.min(F.when(stop, F.col(position))).alias("own"))
-    blocks = blocks.withColumn(_CARRIED, F.min("own").over(Window.partitionBy(*keys)))
+    stops = (
+        marked.groupBy(*group)
+        .agg(F.min(F.when(stop, F.col(position))).alias("own"))
+        .select(*group, F.min("own").over(Window.partitionBy(*keys)).alias(_CARRIED))
+        .filter(F.col(_CARRIED).isNotNull())
+    )
     return (
-        _attach(marked, blocks, group, [_CARRIED])
+        marked.join(stops, group, "left")
         .filter(F.col(_CARRIED).isNull() | (F.col(position) < F.col(_CARRIED)))
-        .drop(_BLOCK, _CARRIED)
+        .select(*df.columns)
     )

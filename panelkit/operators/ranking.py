@@ -16,6 +16,7 @@ from panelkit.sources.staging import Counted
 RANGES = 200
 # Rows that a single task may rank.
 SMALL_ROWS = 100_000
+HOT_SHARE = 1000
 
 
 def value_positions(df: DataFrame, value: str, ranges: int = RANGES) -> DataFrame:
@@ -55,15 +56,29 @@ def with_rank(
         order = Window.orderBy(F.col(value).desc_nulls_last())
         ranked = df.withColumn(rank, F.rank().over(order).cast("bigint"))
     else:
-        ranked = _ranked_by_ranges(df, value, rank)
+        ranked = _ranked_by_ranges(stored, value, rank)
     return ranked if total is None else ranked.withColumn(total, F.lit(stored.rows).cast("bigint"))
 
 
-def _ranked_by_ranges(df: DataFrame, value: str, rank: str) -> DataFrame:
+def _ranked_by_ranges(stored: Counted, value: str, rank: str) -> DataFrame:
+    """Look the rank of each value up.
+
+    Values held by more than one row in HOT_SHARE are fewer than HOT_SHARE, so
+    they can be broadcast. Their rows need no second lookup; they are spread over
+    all tasks instead of meeting at one key.
+    """
+    df = stored.frame
     positions = value_positions(df, value).select(
-        F.col("value").alias("__v"), (F.col("before") + 1).cast("bigint").alias(rank)
+        F.col("value").alias("__v"), "n", (F.col("before") + 1).cast("bigint").alias("__rank")
     )
-    return df.join(positions, F.col(value).cast("double").eqNullSafe(F.col("__v")), "left").drop("__v")
+    is_hot = F.col("n") * HOT_SHARE > stored.rows
+    hot = positions.filter(is_hot).select(F.col("__v").alias("__hot_v"), F.col("__rank").alias("__hot_rank"))
+    cold = positions.filter(~is_hot).select("__v", "__rank", F.lit(0).cast("bigint").alias("__spread"))
+    own = F.col(value).cast("double")
+    spread = F.when(F.col("__hot_rank").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*df.columns), F.lit(HOT_SHARE)))
+    rows = df.join(F.broadcast(hot), own.eqNullSafe(F.col("__hot_v")), "left").withColumn("__row_spread", spread)
+    found = rows.join(cold, own.eqNullSafe(F.col("__v")) & (F.col("__row_spread") == F.col("__spread")), "left")
+    return found.select(*df.columns, F.coalesce("__hot_rank", "__rank").alias(rank))
 
 
 def row_count(df: DataFrame) -> Column:
