@@ -590,6 +590,18 @@ from mapping m cross join (select distinct source_sheet as sheet from members) s
         "mapping", "members",
     )
 
+    # a text no one knows in the first cell of both totals, no years in S1, SOLO written as AFRICA
+    out["grid_errors"] = sql(
+        """select source_sheet as sheet, 'unexpected cell' as error, cast(14 as bigint) as row, cast(2 as bigint) as col,
+       'TOTAL' as detail from (select distinct source_sheet from members)
+union all
+select 'S1', 'quarter without year', null, 2 + ((year - 1995) % 4) * 4 + quarter - 1, cast(quarter as varchar)
+from calendar where (year - 1995) // 4 = 1
+union all
+select source_sheet, 'repeated header', 14 + 1000 * 6, null, 'AFRICA' from (select distinct source_sheet from members)""",
+        "members", "calendar",
+    )
+
     # text and cells
     out["normalise_labels"] = f"select doc_id, {LABEL} as label from documents"
     out["alias_labels"] = """select p_partkey, case label when '(Brand#1)' then '(Brand#01)' when '(Brand#2)' then '(Brand#02)'

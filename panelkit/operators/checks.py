@@ -196,6 +196,10 @@ class Suite:
         self.frame_checks.append((name, failing))
         return self
 
+    def join(self, other: Suite) -> Suite:
+        """The checks of both."""
+        return Suite(self.row_checks + other.row_checks, self.frame_checks + other.frame_checks)
+
     def run(self) -> DataFrame:
         parts = [_fused(df, checks) for df, checks in self.row_checks]
         parts += [_counted(name, failing) for name, failing in self.frame_checks]

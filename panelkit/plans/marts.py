@@ -132,81 +132,95 @@ def build_models(inputs: PanelInputs, cfg: PanelConfig) -> Models:
     return Models(inputs, annual, groups, trend, summary, member_trend)
 
 
-def quality_suite(models: Models, cfg: PanelConfig, first_year: int, n_entities: int) -> checks.Suite:
-    """The 64 checks of the models: not null, unique, domains, links and invariants."""
-    inputs, annual, groups = models.inputs, models.annual, models.groups
-    trend, summary, detail = models.trend, models.summary, models.member_trend
-    mapping, members, published, index = inputs.mapping, inputs.members, inputs.published, inputs.index_long
+def _present(table: str, columns: str) -> dict:
+    return {f"{table}.{c} not null": checks.is_null(c) for c in columns.split()}
 
-    def present(table: str, columns: str) -> dict:
-        return {f"{table}.{c} not null": checks.is_null(c) for c in columns.split()}
 
-    def domain(table: str, column: str, values: list) -> dict:
-        return {f"{table}.{column} accepted": checks.not_accepted(column, values)}
+def _domain(table: str, column: str, values: list) -> dict:
+    return {f"{table}.{column} accepted": checks.not_accepted(column, values)}
 
-    suite = checks.Suite()
-    suite.rows(
-        index,
-        present("index", "group_code index_type metric_type year")
-        | domain("index", "index_type", ["general", "new", "second_hand"])
-        | domain("index", "metric_type", ["index", "annual_variation_pct"]),
-    )
-    suite.rows(
-        members,
-        present("members", "group_header member_label year quarter")
-        | domain("members", "quarter", [1, 2, 3, 4])
-        | domain("members", "value_flag", [text.NO_DATA, text.NOT_REPRESENTATIVE]),
+
+MEMBER_NAMES = ("member_code", "member_iso_code", "member_name", "member_label")
+
+
+def input_suite(inputs: PanelInputs) -> checks.Suite:
+    """The checks of the source tables and the mapping, before any model is built."""
+    mapping, members, published, index = inputs.mapping, inputs.members, inputs.published, inputs.index_long
+    suite = (
+        checks.Suite()
+        .rows(
+            index,
+            _present("index", "group_code index_type metric_type year")
+            | _domain("index", "index_type", ["general", "new", "second_hand"])
+            | _domain("index", "metric_type", ["index", "annual_variation_pct"]),
+        )
+        .rows(
+            members,
+            _present("members", "group_header member_label year quarter")
+            | _domain("members", "quarter", [1, 2, 3, 4])
+            | _domain("members", "value_flag", [text.NO_DATA, text.NOT_REPRESENTATIVE]),
+        )
+        .rows(
+            published,
+            _present("published", "group_header year quarter")
+            | _domain("published", "geo_level", [panel.NATIONAL, panel.GROUP]),
+        )
+        .rows(mapping, _present("mapping", f"{' '.join(MEMBER_NAMES)} group_header group_code group_iso_code group_name"))
     )
-    suite.rows(
-        published,
-        present("published", "group_header year quarter")
-        | domain("published", "geo_level", [panel.NATIONAL, panel.GROUP]),
+    for name in MEMBER_NAMES:
+        suite.add(f"mapping.{name} unique", checks.unique(mapping, name))
+    return (
+        suite.add("index grain", checks.unique_combination(index, ["group_code", "index_type", "metric_type", "year"]))
+        .add("members grain", checks.unique_combination(members, ["member_label", "year", "quarter"]))
+        .add("published grain", checks.unique_combination(published, ["group_header", "year", "quarter"]))
+        .add("mapping grain", checks.unique_combination(mapping, ["group_header", "member_label"]))
+        .add("members in mapping", checks.relationships(members, "member_label", mapping))
+        .add("mapping covered", checks.reverse_coverage(mapping, members, "member_label", ["year", "quarter"]))
+        .add("hierarchy agrees", checks.hierarchy_agrees(members, mapping))
+        .add("code sets equal", checks.set_equality(index.filter(~F.col("is_national")), mapping, "group_code"))
     )
-    suite.rows(annual, present("annual", "geo_level group_header year"))
+
+
+def model_suite(models: Models, cfg: PanelConfig, first_year: int, n_entities: int) -> checks.Suite:
+    """The checks of the models and marts."""
+    annual, groups, trend = models.annual, models.groups, models.trend
+    summary, detail, mapping = models.summary, models.member_trend, models.inputs.mapping
     alone = F.col("is_single_member_group") | F.col("is_autonomous")
-    suite.rows(
-        groups,
-        present("groups", "group_code year")
-        | {"groups single member equal": alone & checks.differs("value", "member_simple_mean")},
-    )
-    rebased = ["index_rebased", "value_rebased"]
-    suite.rows(
-        trend,
-        present("trend", "group_code group_name year")
-        | {"trend base is 100": checks.off_base(rebased, "year", cfg.base_year)},
+    suite = (
+        checks.Suite()
+        .rows(annual, _present("annual", "geo_level group_header year"))
+        .rows(
+            groups,
+            _present("groups", "group_code year")
+            | {"groups single member equal": alone & checks.differs("value", "member_simple_mean")},
+        )
+        .rows(
+            trend,
+            _present("trend", "group_code group_name year")
+            | {"trend base is 100": checks.off_base(["index_rebased", "value_rebased"], "year", cfg.base_year)},
+        )
+        .rows(
+            detail,
+            _present("member_trend", "member_code member_name group_code year quarter")
+            | _domain("member_trend", "rank_group", [f"Top {cfg.top_n}", f"Bottom {cfg.top_n}"]),
+        )
+        .rows(summary, _present("summary", "member_code member_iso_code member_name growth_pct"))
     )
-    suite.rows(
-        detail,
-        present("member_trend", "member_code member_name group_code year quarter")
-        | domain("member_trend", "rank_group", [f"Top {cfg.top_n}", f"Bottom {cfg.top_n}"]),
-    )
-    suite.rows(summary, present("summary", "member_code member_iso_code member_name growth_pct"))
-    names = "member_code member_iso_code member_name member_label"
-    suite.rows(mapping, present("mapping", f"{names} group_header group_code group_iso_code group_name"))
-
-    for name in names.split():
-        suite.add(f"mapping.{name} unique", checks.unique(mapping, name))
     for name in ("member_code", "member_iso_code"):
         suite.add(f"summary.{name} unique", checks.unique(summary, name))
-    for table, df, grain in [
-        ("index", index, "group_code index_type metric_type year"),
-        ("members", members, "member_label year quarter"),
-        ("published", published, "group_header year quarter"),
-        ("annual", annual, "geo_level group_header member_label year"),
-        ("groups", groups, "group_code year"),
-        ("trend", trend, "group_code year"),
-        ("member_trend", detail, "member_code year quarter"),
-        ("mapping", mapping, "group_header member_label"),
-    ]:
-        suite.add(f"{table} grain", checks.unique_combination(df, grain.split()))
-
-    suite.add("members in mapping", checks.relationships(members, "member_label", mapping))
-    suite.add("member_trend in mapping", checks.relationships(detail, "member_code", mapping))
-    suite.add("mapping covered", checks.reverse_coverage(mapping, members, "member_label", ["year", "quarter"]))
-    suite.add("hierarchy agrees", checks.hierarchy_agrees(members, mapping))
-    suite.add("code sets equal", checks.set_equality(index.filter(~F.col("is_national")), mapping, "group_code"))
-    suite.add(
-        "trend coverage",
-        checks.panel_coverage(trend, "year", first_year, cfg.last_full_year, n_entities, ["index_general", "value"]),
+    coverage = checks.panel_coverage(trend, "year", first_year, cfg.last_full_year, n_entities, ["index_general", "value"])
+    return (
+        suite.add(
+            "annual grain", checks.unique_combination(annual, ["geo_level", "group_header", "member_label", "year"])
+        )
+        .add("groups grain", checks.unique_combination(groups, ["group_code", "year"]))
+        .add("trend grain", checks.unique_combination(trend, ["group_code", "year"]))
+        .add("member_trend grain", checks.unique_combination(detail, ["member_code", "year", "quarter"]))
+        .add("member_trend in mapping", checks.relationships(detail, "member_code", mapping))
+        .add("trend coverage", coverage)
     )
-    return suite
+
+
+def quality_suite(models: Models, cfg: PanelConfig, first_year: int, n_entities: int) -> checks.Suite:
+    """All 64 checks: not null, unique, domains, links and invariants."""
+    return input_suite(models.inputs).join(model_suite(models, cfg, first_year, n_entities))

@@ -1,0 +1,107 @@
+"""From the two sources and the mapping to stored marts, checked on the way.
+
+Each step stops the run when its checks fail; every table is a full replace, so
+a run can be repeated.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from panelkit.config import GridLayout, PanelConfig
+from panelkit.operators import checks, grid
+from panelkit.plans import index_file, marts
+from panelkit.sources import tables
+from panelkit.sources.staging import stage
+
+
+@dataclass(frozen=True)
+class GridSource:
+    """What is known about the sheets beforehand."""
+
+    headers: Sequence[str]
+    self_names: Mapping[str, str]
+    aliases: Mapping[str, str] = field(default_factory=dict)
+    layout: GridLayout = GridLayout()
+    n_sheets: int = 8
+
+
+@dataclass(frozen=True)
+class Layers:
+    """Where the tables of each layer go."""
+
+    raw: str = "raw"
+    marts: str = "marts"
+
+
+def grid_suite(cells: DataFrame, result: grid.GridResult, source: GridSource, reference: DataFrame | None) -> checks.Suite:
+    """Layout errors, trees that differ, and the shape of both panels."""
+    spark = cells.sparkSession
+    alone = spark.createDataFrame(list(source.self_names.items()), "header string, member string")
+    named_alone = result.tree.filter(F.col("header").isin(*source.self_names))
+    suite = (
+        checks.Suite()
+        .add("sheet count", checks.sheet_count(cells, source.n_sheets))
+        .add("layout", result.errors)
+        .add("same tree on every sheet", grid.tree_consistency(result.tree).filter(~F.col("same_tree")))
+        .add("groups with a single member", grid.tree_difference(named_alone, alone))
+        .add("member grain", checks.unique_combination(result.members, ["member_label", "year", "quarter"]))
+        .add("published grain", checks.unique_combination(result.published, ["group_header", "year", "quarter"]))
+        .add("members x periods", checks.complete_grid(result.members, "member_label", ["year", "quarter"]))
+    )
+    if reference is not None:
+        suite.add("reference tree", grid.tree_difference(result.tree, reference))
+    return suite
+
+
+def load_raw(
+    spark: SparkSession,
+    index_path: str,
+    cells: DataFrame,
+    source: GridSource,
+    n_geographies: int,
+    reference: DataFrame | None = None,
+    layers: Layers = Layers(),
+) -> None:
+    """Parse both sources, check them and replace the raw tables."""
+    index = stage(index_file.parse_index(index_file.read_index(spark, index_path)), "index-parsed")
+    checks.require(index_file.index_checks(index, n_geographies).run())
+    result = grid.parse_grid(cells, source.headers, source.self_names, source.aliases, source.layout)
+    checks.require(grid_suite(cells, result, source, reference).run())
+
+    tables.create_namespace(spark, layers.raw, "Parsed source tables")
+    tables.load_table(index, f"{layers.raw}.index_long", index_file.INDEX_SCHEMA)
+    tables.load_table(result.members, f"{layers.raw}.member_quarter", marts.MEMBER_SCHEMA)
+    tables.load_table(result.published, f"{layers.raw}.published_quarter", marts.PUBLISHED_SCHEMA)
+
+
+def raw_inputs(spark: SparkSession, mapping: DataFrame, cfg: PanelConfig, layers: Layers = Layers()) -> marts.PanelInputs:
+    """The staged views over the raw tables."""
+    return marts.PanelInputs(
+        index_long=index_file.stage_index(tables.source(spark, layers.raw, "index_long"), cfg.national_code),
+        members=marts.stage_members(tables.source(spark, layers.raw, "member_quarter")),
+        published=marts.stage_published(tables.source(spark, layers.raw, "published_quarter")),
+        mapping=mapping,
+    )
+
+
+def build_marts(
+    inputs: marts.PanelInputs, cfg: PanelConfig, first_year: int, n_entities: int, layers: Layers = Layers()
+) -> marts.Models:
+    """Check the inputs, build the models, check them and store the marts."""
+    checks.require(marts.input_suite(inputs).run())
+    models = marts.build_models(inputs, cfg)
+    checks.require(marts.model_suite(models, cfg, first_year, n_entities).run())
+
+    tables.create_namespace(models.trend.sparkSession, layers.marts, "Marts")
+    for name, mart in (
+        ("mart_trend_group", models.trend),
+        ("mart_growth_summary", models.summary),
+        ("mart_trend_member", models.member_trend),
+    ):
+        tables.materialise_table(mart, f"{layers.marts}.{name}")
+    return models
