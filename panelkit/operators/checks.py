@@ -203,7 +203,15 @@ class Suite:
     def run(self) -> DataFrame:
         parts = [_fused(df, checks) for df, checks in self.row_checks]
         parts += [_counted(name, failing) for name, failing in self.frame_checks]
-        return reduce(DataFrame.unionByName, parts)
+        return _union(parts)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    """Union by halves: every union analyses its inputs again, so a long chain is slow to plan."""
+    if len(parts) == 1:
+        return parts[0]
+    half = len(parts) // 2
+    return _union(parts[:half]).union(_union(parts[half:]))
 
 
 def _fused(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
@@ -213,13 +221,9 @@ def _fused(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     for i, name in enumerate(names):
         aggregates.append(F.count_if(checks[name]).alias(f"n{i}"))
         aggregates.append(F.min(F.when(checks[name], whole_row)).alias(f"s{i}"))
-    results = F.array(
-        *[
-            F.struct(F.lit(name).alias("check"), F.col(f"n{i}").alias("failing_rows"), F.col(f"s{i}").alias("sample"))
-            for i, name in enumerate(names)
-        ]
-    )
-    return df.agg(*aggregates).select(F.inline(results))
+    quoted = [name.replace("\\", "\\\\").replace("'", "\\'") for name in names]
+    results = [f"struct('{name}' as check, n{i} as failing_rows, s{i} as sample)" for i, name in enumerate(quoted)]
+    return df.agg(*aggregates).selectExpr(f"inline(array({', '.join(results)}))")
 
 
 def _counted(name: str, failing: DataFrame) -> DataFrame:

@@ -90,12 +90,12 @@ def test_suite_counts_and_samples(rows):
     df = rows("k string, v double", ("a", 1.0), ("a", None), (None, 3.0))
     suite = (
         checks.Suite()
-        .rows(df, {"k there": checks.is_null("k"), "v there": checks.is_null("v"), "fine": F.lit(False)})
+        .rows(df, {"k there": checks.is_null("k"), "v there": checks.is_null("v"), "it's fine": F.lit(False)})
         .add("k unique", checks.unique(df, "k"))
     )
     got = {r["check"]: (r["failing_rows"], r["sample"]) for r in suite.run().collect()}
     assert got == {
-        "k there": (1, '{"v":3.0}'), "v there": (1, '{"k":"a"}'), "fine": (0, None), "k unique": (1, '{"k":"a","n_rows":2}'),
+        "k there": (1, '{"v":3.0}'), "v there": (1, '{"k":"a"}'), "it's fine": (0, None), "k unique": (1, '{"k":"a","n_rows":2}'),
     }
     with pytest.raises(checks.QualityError, match="k there: 1 rows"):
         checks.require(suite.run())
