@@ -38,5 +38,5 @@ def test_faulty_sheets_are_reported(spark):
 
 def test_entry(spark):
     trend = entry.entry(spark)
-    assert trend.count() == 62
+    assert trend.count() == 9 * 7
     assert len(trend.columns) == 22
