@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from panelkit.functions.text import WHITESPACE
+# the code points that Python's str.isspace accepts
+WHITESPACE = (
+    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+    r"\x{202f}\x{205f}\x{3000}]"
+)
 
 
 def rnd(x: str, n: int) -> str:

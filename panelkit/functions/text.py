@@ -7,11 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The code points that a Unicode-aware \s matches, as a class and as a text.
-WHITESPACE = (
-    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
-    r"\x{202f}\x{205f}\x{3000}]"
-)
+# What counts as whitespace, as a class of a Unicode-aware pattern and as a text.
+# The Unicode property alone would leave out the four separators.
+UNICODE = "(?U)"
+WHITESPACE = r"[\s\x1c-\x1f]"
 WHITESPACE_CHARACTERS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -35,7 +34,7 @@ def strip(text: Column) -> Column:
 
 def normalise_label(text: Column) -> Column:
     """Collapse whitespace, trim, and drop the blank before a closing bracket."""
-    collapsed = F.trim(F.regexp_replace(text, f"{WHITESPACE}+", " "))
+    collapsed = F.trim(F.regexp_replace(text, f"{UNICODE}{WHITESPACE}+", " "))
     return F.replace(collapsed, F.lit(" )"), F.lit(")"))
 
 
@@ -59,7 +58,7 @@ def code_name(text: Column, digits: int = 2) -> Column:
 
 
 def _prefixed(digits: int) -> str:
-    return rf"^(?:(\p{{Nd}}{{{digits}}}){WHITESPACE}+)?([^\n]+)\z"
+    return rf"{UNICODE}^(?:(\p{{Nd}}{{{digits}}}){WHITESPACE}+)?([^\n]+)\z"
 
 
 def locale_number(text: Column, strict: bool = True, tokens: tuple[str, ...] = ("",)) -> Column:
@@ -85,7 +84,7 @@ def quarter_label(text: Column, pattern: str) -> Column:
 
 
 def _wide(pattern: str) -> str:
-    return pattern.replace(r"\s", WHITESPACE)
+    return UNICODE + pattern.replace(r"\s", WHITESPACE)
 
 
 def sentinel_flag(number: Column, text: Column, not_representative: str) -> Column:

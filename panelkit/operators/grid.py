@@ -153,8 +153,9 @@ def parse_grid(
 
     data = cells.filter((F.col("col") > layout.label_col) & (F.col("row") >= layout.first_data_row))
     values = (
-        data.join(targets, ["sheet", "row"])
-        .join(periods, ["sheet", "col"])
+        # the small period table first: it drops the columns that are no periods
+        data.join(periods, ["sheet", "col"])
+        .join(targets, ["sheet", "row"])
         .select(
             "sheet",
             "row",

@@ -221,15 +221,20 @@ def rebase(
 
 
 def seasonal_yoy(
-    df: DataFrame, keys: Sequence[str] = ("member_label",), year: str = "year", season: str = "quarter", value: str = "value"
+    df: DataFrame,
+    keys: Sequence[str] = ("member_label",),
+    year: str = "year",
+    season: str | None = "quarter",
+    value: str = "value",
 ) -> DataFrame:
     """The value of the same season one calendar year before, and the change.
 
-    Needs the grain (keys, year, season) to be unique. Reading the previous row
+    Needs the grain (keys, year, season) to be unique; a yearly panel has no
+    season. Reading the previous row
     and keeping it only when it is last year's replaces a self join: one pass
     over the panel and one shuffle.
     """
-    order = Window.partitionBy(*keys, season).orderBy(year)
+    order = Window.partitionBy(*keys, *([season] if season else [])).orderBy(year)
     prior = F.when(F.lag(year).over(order) == F.col(year) - 1, F.lag(value).over(order))
     return df.withColumn("value_prior_year", prior).withColumn(
         "yoy_pct", numeric.pct_change(F.col(value), F.col("value_prior_year"), 2)

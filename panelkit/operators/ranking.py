@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.sources.staging import Counted
+from panelkit.sources.staging import Counted, stage_counted
 
 RANGES = 200
 # Rows that a single task may rank.
@@ -48,16 +48,24 @@ def value_positions(df: DataFrame, value: str, ranges: int = RANGES) -> DataFram
 
 
 def with_rank(
-    stored: Counted, value: str, rank: str, total: str | None = None, small_rows: int = SMALL_ROWS
+    df: DataFrame, value: str, rank: str, total: str, at_most: int | None = None, small_rows: int = SMALL_ROWS
 ) -> DataFrame:
-    """Rank by descending value: ties share a rank, gaps follow, NULL ranks last."""
-    df = stored.frame
-    if stored.rows <= small_rows:
-        order = Window.orderBy(F.col(value).desc_nulls_last())
-        ranked = df.withColumn(rank, F.rank().over(order).cast("bigint"))
-    else:
-        ranked = _ranked_by_ranges(stored, value, rank)
-    return ranked if total is None else ranked.withColumn(total, F.lit(stored.rows).cast("bigint"))
+    """Rank by descending value, and the number of rows; ties share a rank, gaps follow, NULL ranks last.
+
+    ``at_most`` is a proven bound on the rows, such as the size of the table they
+    come from. Without one, or beyond ``small_rows``, the frame is stored and
+    ranked by value ranges.
+    """
+    if at_most is not None and at_most <= small_rows:
+        whole = Window.partitionBy()
+        order = whole.orderBy(F.col(value).desc_nulls_last())
+        return df.select(
+            "*",
+            F.rank().over(order).cast("bigint").alias(rank),
+            F.count(F.lit(1)).over(whole).alias(total),
+        )
+    stored = stage_counted(df, "ranked")
+    return _ranked_by_ranges(stored, value, rank).withColumn(total, F.lit(stored.rows).cast("bigint"))
 
 
 def _ranked_by_ranges(stored: Counted, value: str, rank: str) -> DataFrame:
@@ -91,8 +99,10 @@ def rank_label(rank: Column, total: Column, n: int) -> Column:
     return F.when(rank <= n, F.lit(f"Top {n}")).when(rank > total - n, F.lit(f"Bottom {n}"))
 
 
-def median(df: DataFrame, value: str) -> DataFrame:
+def median(df: DataFrame, value: str, at_most: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Exact median of the non-NULL values, one row."""
+    if at_most is not None and at_most <= small_rows:
+        return df.agg(F.median(value).alias("median"))
     known = df.filter(F.col(value).isNotNull())
     positions = value_positions(known, value)
     count = row_count(known)
@@ -101,6 +111,5 @@ def median(df: DataFrame, value: str) -> DataFrame:
     def holds(position: Column) -> Column:
         return (F.col("before") <= position) & (position < F.col("before") + F.col("n"))
 
-    return positions.agg(
-        ((F.max(F.when(holds(lower), F.col("value"))) + F.max(F.when(holds(upper), F.col("value")))) / 2).alias("median")
-    )
+    middle = (F.max(F.when(holds(lower), F.col("value"))) + F.max(F.when(holds(upper), F.col("value")))) / 2
+    return positions.agg(middle.alias("median"))

@@ -262,14 +262,14 @@ def customer_growth(t: Trade) -> DataFrame:
 
 @query
 def rank_groups(t: Trade) -> DataFrame:
-    ranked = stage_counted(customer_growth(t), "customer-growth")
-    # ranked by value ranges whatever the scale
-    return growth.rank_groups(ranked, top_n=CONFIG.top_n, small_rows=0)
+    """Customers have no bound, so they are ranked by value ranges."""
+    return growth.rank_groups(customer_growth(t), top_n=CONFIG.top_n)
 
 
 @query
 def finding_spread(t: Trade) -> DataFrame:
-    return growth.spread(stage(t.summary, "summary"), CONFIG.top_n)
+    summary = stage_counted(t.summary, "summary")
+    return growth.spread(summary.frame, CONFIG.top_n, summary.rows)
 
 
 @query

@@ -201,7 +201,7 @@ def index_raw(map_df: DataFrame, totals: DataFrame) -> DataFrame:
     )
     series = ["group_code", "index_type"]
     # the change is taken from the mean of the calendar year before
-    prior = panel.seasonal_yoy(long.withColumn("season", F.lit(1)), series, "year", "season", "mean")
+    prior = panel.seasonal_yoy(long, series, "year", None, "mean")
     wide = prior.select(
         "group_code",
         "group_name",

@@ -6,13 +6,13 @@ import pytest
 
 from panelkit import GridLayout, PanelConfig
 from panelkit.operators.checks import QualityError
-from panelkit.plans import index_file, marts, pipeline
+from panelkit.plans import build, index_file, marts
 from panelkit.sources import tables
 from panelkit.sources.staging import stage
 
 YEARS = range(2000, 2006)
 CFG = PanelConfig(base_year=2000, recent_base_year=2002, last_full_year=2004, top_n=2, national_name="All")
-SOURCE = pipeline.GridSource(["North", "Solo", "Cities"], {"Solo": "Solo Town"}, n_sheets=2)
+SOURCE = build.GridSource(["North", "Solo", "Cities"], {"Solo": "Solo Town"}, n_sheets=2)
 MEMBERS = {"n1": "North", "n2": "North", "Solo Town": "Solo", "c1": "Cities", "c2": "Cities"}
 GROUPS = {"North": "01", "Solo": "02", "c1": "03", "c2": "04"}
 ROWS = ["TOTAL NACIONAL", "North", "n1", "n2", "Solo", "Cities", "c1", "c2"]
@@ -67,7 +67,7 @@ def sources(spark, tmp_path_factory):
 
 @pytest.fixture
 def layers(spark, tmp_path):
-    layers = pipeline.Layers("p_raw", "p_marts")
+    layers = build.Layers("p_raw", "p_marts")
     for name in ("p_raw", "p_marts"):
         tables.create_namespace(spark, name, location=str(tmp_path / name))
     yield layers
@@ -79,9 +79,9 @@ def test_files_to_marts(spark, sources, layers):
     index_path, frame, mapping = sources
     reference = mapping.selectExpr("group_header as header", "member_label as member")
     for _ in range(2):
-        pipeline.load_raw(spark, index_path, frame, SOURCE, 5, reference, layers)
-    inputs = pipeline.raw_inputs(spark, mapping, CFG, layers)
-    pipeline.build_marts(inputs, CFG, 2000, 5, layers)
+        build.load_raw(spark, index_path, frame, SOURCE, 5, reference, layers)
+    inputs = build.raw_inputs(spark, mapping, CFG, layers)
+    build.build_marts(inputs, CFG, 2000, 5, layers)
 
     trend = {(r.group_code, r.year): r for r in spark.table("p_marts.mart_trend_group").collect()}
     assert len(trend) == 5 * 6
@@ -108,13 +108,13 @@ def test_a_bad_sheet_stops_the_load(spark, sources, layers):
     index_path, _, _ = sources
     bad = spark.createDataFrame(cells(["n1", *ROWS]), "sheet string, row bigint, col bigint, num double, txt string")
     with pytest.raises(QualityError, match="layout: .*member before any header"):
-        pipeline.load_raw(spark, index_path, bad, SOURCE, 5, None, layers)
+        build.load_raw(spark, index_path, bad, SOURCE, 5, None, layers)
     assert not spark.catalog.tableExists("p_raw.member_quarter")
 
 
 def test_a_wrong_mapping_stops_the_models(spark, sources, layers):
     index_path, frame, mapping = sources
-    pipeline.load_raw(spark, index_path, frame, SOURCE, 5, None, layers)
-    inputs = pipeline.raw_inputs(spark, mapping.filter("member_label <> 'n2'"), CFG, layers)
+    build.load_raw(spark, index_path, frame, SOURCE, 5, None, layers)
+    inputs = build.raw_inputs(spark, mapping.filter("member_label <> 'n2'"), CFG, layers)
     with pytest.raises(QualityError, match="members in mapping: 1 rows"):
-        pipeline.build_marts(inputs, CFG, 2000, 5, layers)
+        build.build_marts(inputs, CFG, 2000, 5, layers)
