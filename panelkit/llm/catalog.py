@@ -6,9 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import token_frames
+from panelkit.llm import mixing, pieces, quality, reply_trees, secret_scan, token_frames
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_frames": token_frames.op1,
+    "op4_source_mixing": mixing.op4,
+    "op5_randomness_secrets": secret_scan.op5,
+    "op8_fourier_quality": quality.op8,
+    "op9_sentencepiece_scan": pieces.op9,
+    "op10_reply_trees": reply_trees.op10,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op4_source_mixing": mixing.ORACLE_SQL,
+    "op10_reply_trees": reply_trees.ORACLE_SQL,
 }
-ORACLE_SQL: dict[str, str] = {}

@@ -78,12 +78,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def powers(base: np.uint64, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, by doubling."""
     out = np.ones(max(n, 1), dtype=np.uint64)
-    done, step = 1, base
+    done, step = 1, int(base)
     while done < n:
         more = min(done, n - done)
-        out[done : done + more] = out[:more] * step
+        out[done : done + more] = out[:more] * np.uint64(step)
         done += more
-        step = step * step
+        step = step * step % (1 << 64)
     return out[:n]
 
 
