@@ -14,6 +14,7 @@ name of the attempt and renamed when complete, so a task that runs again leaves
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -33,58 +34,81 @@ from panelkit.sources.staging import stage
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 #: Ids in one frame and documents in one shard at most; what goes beyond opens another frame or shard.
 FRAME_IDS, SHARD_DOCS = 1 << 20, 1 << 20
-#: Words whose ids a task remembers before it starts afresh.
-CACHED_WORDS = 400_000
+#: Text whose different words are encoded together, and how many plain words go into one call of the library.
+ENCODE_BYTES, TOGETHER = 16 << 20, 2048
 
 MANIFEST = "path string, part int, shard int, n_docs long, n_tokens long, first_id long, last_id long"
 
 
 @dataclass(frozen=True)
 class Encoding:
-    """Which tokenizer to use. Both characters of ``split`` are white space to it, which it drops."""
+    """Which tokenizer to use, and what is known of it.
+
+    ``word_end`` is what the last token of a run of letters ends with, for a tokenizer that drops white space, keeps runs
+    of letters apart from marks and ignores case; None for any other, which then encodes whole texts.
+    """
 
     path: str
     end_id: int | None = None
-    split: str = " \n"
+    word_end: str | None = "</w>"
 
 
 class Encoder:
-    """Encodes texts by the tokenizers library, each different word once.
+    """Encodes texts by the tokenizers library, each different word of a slice once.
 
-    The tokenizer never joins characters across white space, so the ids of a text are those of its words in order.
+    Nothing joins characters across white space, nor a Latin letter with a mark behind it, so the ids of a text are those
+    of its parts in order. Parts of letters alone are given to the library many at a time; the ends of words tell which
+    ids are whose.
     """
 
+    LETTERS = "a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+
     def __init__(self, encoding: Encoding):
         from tokenizers import Tokenizer
 
-        self.encoding, self.tokenizer, self.known = encoding, Tokenizer.from_file(encoding.path), {}
-
-    def words(self, words: list[str]) -> list[np.ndarray]:
-        missing = [w for w in words if w not in self.known]
-        if len(self.known) + len(missing) > CACHED_WORDS:
-            self.known, missing = {}, words
-        for a in range(0, len(missing), 4096):
-            some = missing[a : a + 4096]
-            for word, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, dtype=np.uint32)
-        return [self.known[w] for w in words]
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on every core
+        self.encoding, self.tokenizer = encoding, Tokenizer.from_file(encoding.path)
+        self.closes = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, dtype=bool)
+        if encoding.word_end:
+            self.closes[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(encoding.word_end)]] = True
+
+    def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, one text after the other, and the number of each."""
+        found = [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        counts = np.array([len(x) for x in found], dtype=np.int64)
+        return np.fromiter((i for x in found for i in x), np.uint32, int(counts.sum())), counts
+
+    def plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``each``, for words of letters alone."""
+        ids, _ = self.each([" ".join(words[a : a + TOGETHER]) for a in range(0, len(words), TOGETHER)])
+        counts = np.diff(np.flatnonzero(self.closes[ids]) + 1, prepend=0)
+        return (ids, counts) if len(counts) == len(words) else self.each(words)
+
+    def parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``each``, by way of the different parts of all texts."""
+        marked = pc.match_substring(texts, "<|")  # special tokens are looked for before anything else
+        texts = pc.replace_substring(texts, "\n", " ")
+        texts = pc.if_else(marked, texts, pc.ascii_lower(texts))
+        lists = pc.split_pattern(pc.replace_substring_regex(texts, f"([{self.LETTERS}])([.,:;?!#$%&*])", r"\1 \2"), " ")
+        codes = lists.flatten().dictionary_encode()
+        is_plain = pc.match_substring_regex(codes.dictionary, f"^[{self.LETTERS}]+$")
+        order = np.argsort(~is_plain.to_numpy(zero_copy_only=False), kind="stable")
+        n_plain = pc.sum(is_plain).as_py() or 0
+        sorted_words = codes.dictionary.take(pa.array(order)).to_pylist()
+        (a, a_counts), (b, b_counts) = self.plain(sorted_words[:n_plain]), self.each(sorted_words[n_plain:])
+        known, size = np.concatenate([a, b]), np.concatenate([a_counts, b_counts])
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        which = place[codes.indices.to_numpy(zero_copy_only=False)]
+        each = size[which]
+        ids = known[common.ragged((np.cumsum(size) - size)[which], each)]
+        before = np.concatenate([[0], np.cumsum(each)])
+        return ids, np.diff(before[lists.offsets.to_numpy() - lists.offsets[0].as_py()])
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, one text after the other, and the number of each text; the end id included."""
+        """As ``each``, null as empty, with the end id behind every text."""
         texts = pc.fill_null(texts, "")
-        for other in self.encoding.split[1:]:
-            texts = pc.replace_substring(texts, other, self.encoding.split[0])
-        parts = pc.split_pattern(texts, self.encoding.split[0])
-        flat = parts.flatten().dictionary_encode()
-        per_word = self.words(flat.dictionary.to_pylist())
-        lengths = np.array([len(x) for x in per_word], dtype=np.int64)
-        starts = np.cumsum(lengths) - lengths
-        codes = flat.indices.to_numpy(zero_copy_only=False)
-        each = lengths[codes]
-        ids = np.concatenate(per_word)[common.ragged(starts[codes], each)] if len(codes) else np.zeros(0, np.uint32)
-        words = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
-        before = np.concatenate([[0], np.cumsum(each)])
-        counts = np.diff(before[np.concatenate([[0], np.cumsum(words)])])
+        ids, counts = self.parts(texts) if self.encoding.word_end else self.each(texts.to_pylist())
         if self.encoding.end_id is None:
             return ids, counts
         total = counts + 1
@@ -195,7 +219,7 @@ def write_shards(docs: DataFrame, folder: str, encoding: Encoding) -> DataFrame:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         encoder, shards, writer = Encoder(encoding), [], None
-        for batch in common.slices(batches, "text"):
+        for batch in common.slices(batches, "text", ENCODE_BYTES):
             ids, counts = encoder.texts(batch.column("text"))
             stops = np.cumsum(counts)
             for doc_id, start, stop in zip(batch.column("doc_id").to_pylist(), stops - counts, stops, strict=True):
