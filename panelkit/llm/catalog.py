@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import mixing, pieces, quality, reply_trees, secret_scan, token_frames
+from panelkit.llm import inverted_index, mixing, nn_descent, pieces, quality, reply_trees, secret_scan, signature_trees, substring, token_frames
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_frames": token_frames.op1,
+    "op2_inverted_multi_index": inverted_index.op2,
+    "op3_nn_descent": nn_descent.op3,
     "op4_source_mixing": mixing.op4,
     "op5_randomness_secrets": secret_scan.op5,
+    "op6_signature_trees": signature_trees.op6,
+    "op7_substring_dedup": substring.op7,
     "op8_fourier_quality": quality.op8,
     "op9_sentencepiece_scan": pieces.op9,
     "op10_reply_trees": reply_trees.op10,

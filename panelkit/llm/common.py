@@ -182,3 +182,12 @@ def same(a: Column, b: Column) -> Column:
 def text_of(column: str | Column) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
+
+
+def superseded(frame: DataFrame) -> None:
+    """Delete the staged files of a frame that a newer one has replaced."""
+    spark = frame.sparkSession
+    folders = {file.rsplit("/", 1)[0] for file in frame.inputFiles()}
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
