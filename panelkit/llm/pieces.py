@@ -18,7 +18,7 @@ The ids equal those of the library on the whole text. Shorter documents go throu
 
 Defined results: null and empty texts have no ids; U+2581 is the model's blank and decodes to one; a text that does not
 come back equal is told by ``decode``; rows that repeat a doc_id are encoded one by one; an empty table gives no rows;
-other columns are kept, except ``ids`` and ``n_tokens``, which are replaced.
+other columns are kept, except ``ids``, ``n_tokens`` and ``round_trip``, which are replaced.
 """
 
 from __future__ import annotations
@@ -311,6 +311,21 @@ def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:
     return rows.mapInArrow(read, "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string, same boolean")
 
 
+def checked(encoded: DataFrame, pieces: Pieces) -> DataFrame:
+    """The encoded documents with round_trip: whether their ids decode to their text."""
+    schema = T.StructType([*encoded.drop("round_trip").schema.fields, T.StructField("round_trip", T.BooleanType())])
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = None
+        for batch in common.slices(batches, "text"):
+            model = model or Model(pieces.path)
+            texts = model.whole.decode(batch.column("ids").to_pylist(), num_threads=1)
+            same = [a == b for a, b in zip(texts, pc.fill_null(batch.column("text"), "").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(same)], [*batch.schema.names, "round_trip"])
+
+    return encoded.drop("round_trip").mapInArrow(check, schema)
+
+
 def default() -> Pieces:
     import public_tokenizers
 

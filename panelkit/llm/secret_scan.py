@@ -230,9 +230,8 @@ def redact(docs: DataFrame, how: Scan = Scan(), mark: str = "[secret]") -> DataF
 
     The corpus is scanned twice, for the thresholds and for the texts, so that no text is shuffled.
     """
-    columns = docs.columns
     seen = stage(scanned(docs.select("text")).select("secret_more"), "secret-candidates")
-    rows = scanned(docs).withColumn("secret_first", thresholds(seen, how.rate))
+    rows = scanned(docs.select(F.struct("*").alias("secret_row"), "text")).withColumn("secret_first", thresholds(seen, how.rate))
     rows = rows.withColumn("secret_spans", all_spans(F.col("secret_first")))
     start = F.struct(F.lit(0).alias("at"), F.expr("array()").cast("array<string>").alias("parts"))
 
@@ -245,10 +244,11 @@ def redact(docs: DataFrame, how: Scan = Scan(), mark: str = "[secret]") -> DataF
         )
 
     done = F.aggregate("secret_spans", start, step, lambda t: F.concat(F.array_join(t["parts"], ""), F.substring("text", t["at"] + 1, F.lit(1 << 30))))
-    rows = rows.withColumn("text", F.when(F.size("secret_spans") > 0, done).otherwise(F.col("text")))
-    if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
-    return rows.select(*columns)
+    found, row = F.size("secret_spans") > 0, F.col("secret_row")
+    changed = row.withField("text", done)
+    if "n_chars" in docs.columns:
+        changed = changed.withField("n_chars", F.length(done).cast(docs.schema["n_chars"].dataType))
+    return rows.select(F.when(found, changed).otherwise(row).alias("secret_row")).select("secret_row.*")
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -307,10 +307,14 @@ def with_component(rows: DataFrame, edges: DataFrame, column: str, name: str) ->
 
 
 def representatives(docs: DataFrame, how: Shingles = Shingles()) -> DataFrame:
-    """The documents with the smallest doc_id of their component, and those without doc_id, with all their columns."""
-    kept = join(docs, how).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    chosen = docs.join(stage(kept, "shingle-kept"), F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
-    return chosen.dropDuplicates(["doc_id", "text"]).unionAll(docs.filter("doc_id is null"))
+    """The documents with the smallest doc_id of their component, and those without doc_id, with all their columns.
+
+    Of rows that repeat both doc_id and text, one is kept.
+    """
+    kept = join(docs, how).filter("doc_id = component_id").select("doc_id").distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    chosen = rows.join(stage(kept, "shingle-kept"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return chosen.select("row.*").unionAll(rows.filter("doc_id is null").select("row.*"))
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
