@@ -96,17 +96,20 @@ def normal(z: Column) -> Column:
 
 
 def p_value(token: Column, code: Encoding) -> Column:
-    """The largest p-value of the three tests, each of departing as far as language does.
-
-    Written as one fold over symbols for what the tests need, and a few closed forms.
-    """
+    """The largest p-value of the three tests, each of departing as far as language does, in one fold over the symbols."""
     a = len(code.alphabet)
     alphabet = F.lit(code.alphabet)
     symbols = F.transform(F.split(F.rtrim(token, F.lit("=")), ""), lambda c: F.call_function("instr", alphabet, c).cast("double") - 1)
-    return F.aggregate(F.array(symbols), F.lit(1.0), lambda _, x: _battery(x, a, code))
+    # bound to a variable, so that each is computed once
+    mean = lambda x: F.aggregate(x, F.lit(0.0), lambda t, y: t + y) / F.size(x)
+    return _let(symbols, lambda x: _let(mean(x), lambda m: _battery(x, m, a, code)))
+
+
+def _let(value: Column, body) -> Column:
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _battery(x: Column, a: int, code: Encoding) -> Column:
+def _battery(x: Column, mean: Column, a: int, code: Encoding) -> Column:
     n = F.size(x).cast("double")
     ranks = F.sequence(F.lit(0), F.lit(a - 1))
     squares = F.aggregate(
@@ -116,7 +119,6 @@ def _battery(x: Column, a: int, code: Encoding) -> Column:
     away = n * code.uniformity
     p_chi = normal((chi - df - away) / F.sqrt(2 * (df + 2 * away)))
 
-    mean = F.aggregate(x, F.lit(0.0), lambda t, y: t + y) / n
     start = F.struct(F.lit(-1.0).alias("last"), F.lit(0.0).alias("runs"), F.lit(0.0).alias("upper"), F.lit(0.0).alias("cross"), F.lit(0.0).alias("square"))
     half = (a - 1) / 2
 
