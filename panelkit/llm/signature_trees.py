@@ -6,7 +6,7 @@ A document is the set of its shingles. Two link when 100 * intersection >= perce
 2. Which pairs can link at all? With the shingles of all documents in one fixed order, two sets that link share a
    shingle among the first few of each, and e + 1 of them if each looks e further. So each set may then forget the e most
    frequent of its shingles and still share one. What remains are rare shingles; common passages do not gather documents.
-3. Documents that share such a shingle stand in one tree. First each is compared with one other that it shares most
+3. Documents that share such a shingle stand in one tree; shingles with the same documents share theirs. First each is compared with one other that it shares most
    with, so that groups of near copies become components without comparing all with all.
 4. Each shingle whose documents lie in several components gets a signature tree: its leaves are documents, ordered by
    component and size; nodes hold the OR of the bitmaps of what is below, and ranges of size, of component and of what
@@ -270,17 +270,20 @@ def join(docs: DataFrame, how: Shingles = Shingles()) -> DataFrame:
     posts = own.select(F.explode("keys").alias("key"), "doc").repartition("key")
     shared = posts.groupBy("key").agg(F.count("*").alias("often")).filter("often > 1")
     seen = stage(posts.join(shared, "key"), "shingle-shared")
-    ranked = F.array_sort(F.collect_list(F.struct(-F.col("often"), "key")))
+    ranked = F.array_sort(F.collect_set(F.struct(-F.col("often"), "key")))
     kept = seen.groupBy("doc").agg(ranked.alias("keys")).join(some.groupBy("doc").agg(F.min("forget").alias("forget")), "doc")
     kept = kept.filter(F.size("keys") > F.col("forget")).select("doc", F.explode(F.expr("slice(keys, int(forget) + 1, size(keys))")).alias("k"))
     posts = stage(kept.select(F.col("k.key").alias("key"), "doc"), "shingle-posts")
-    pivots = posts.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("last")).filter("pivot < last")
-    posts = stage(posts.join(pivots.select("key", "pivot"), "key"), "shingle-trees")
+    # near copies share many shingles: those with the same documents make one tree
+    digest = [F.bit_xor(F.xxhash64("doc", F.lit(seed))).alias(name) for seed, name in enumerate("uv")]
+    trees = posts.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("last"), F.count("*").alias("docs"), *digest)
+    trees = trees.filter("pivot < last").groupBy("pivot", "last", "docs", "u", "v").agg(F.min("key").alias("key"), F.count("*").alias("times"))
+    posts = stage(posts.join(stage(trees.select("key", "pivot", "times"), "shingle-keys"), "key"), "shingle-trees")
 
     wanted = equal.select(F.col("same").alias("doc"), "a", "b").join(posts.select("doc").distinct(), "doc", "left_semi")
     sets = stage(second_scan(docs, wanted, how), "shingle-whole")
-    pairs = posts.filter("doc != pivot").groupBy("doc", "pivot").count()
-    nearest = pairs.groupBy("doc").agg(F.max(F.struct("count", -F.col("pivot"), "pivot")).alias("best")).select(F.col("best.pivot").alias("x"), F.col("doc").alias("y"))
+    pairs = posts.filter("doc != pivot").groupBy("doc", "pivot").agg(F.sum("times").alias("times"))
+    nearest = pairs.groupBy("doc").agg(F.max(F.struct("times", -F.col("pivot"), "pivot")).alias("best")).select(F.col("best.pivot").alias("x"), F.col("doc").alias("y"))
     edges = stage(compared(nearest, sets, how), "shingle-links")
     # the other pivots of documents that are still apart from them
     posts = stage(with_component(posts, edges, "doc", "component"), "shingle-trees")
