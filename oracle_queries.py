@@ -26,8 +26,14 @@ def ratio(a: str, b: str, n: int = 2) -> str:
     return rnd(f"100 * ({a}) / nullif({b}, 0)", n)
 
 
-def mean(x: str, scale: int = 4) -> str:
-    return f"(cast(sum(cast(floor({x} * 1e{scale} + 0.5) as bigint)) as double) / 1e{scale} / nullif(count({x}), 0))"
+def mean(x: str) -> str:
+    """From an exact decimal sum; the decimals are those of the number as it is written."""
+    return f"(cast(cast(sum(cast(cast({x} as varchar) as decimal(38, 18))) as varchar) as double) / nullif(count({x}), 0))"
+
+
+def code2(x: str) -> str:
+    """Two digits at least."""
+    return f"case when length(cast({x} as varchar)) < 2 then '0' || cast({x} as varchar) else cast({x} as varchar) end"
 
 
 MIN_OBS = 10
@@ -63,15 +69,15 @@ def sql(select: str, *needs: str) -> str:
 
 cte(
     "mapping",
-    """select lpad(cast(n_nationkey as varchar), 2, '0') as member_code,
-       'M-' || lpad(cast(n_nationkey as varchar), 2, '0') as member_iso_code,
+    f"""select {code2("n_nationkey")} as member_code,
+       'M-' || {code2("n_nationkey")} as member_iso_code,
        replace(n_name, '_', ' ') as member_name,
        n_name as member_label,
        case when n_nationkey = 22 then 'SOLO' when n_nationkey in (23, 24) then 'SHARED' else r_name end as group_header,
        case n_nationkey when 22 then '06' when 23 then '07' when 24 then '08'
-            else lpad(cast(n_regionkey + 1 as varchar), 2, '0') end as group_code,
+            else {code2("n_regionkey + 1")} end as group_code,
        'G-' || case n_nationkey when 22 then '06' when 23 then '07' when 24 then '08'
-            else lpad(cast(n_regionkey + 1 as varchar), 2, '0') end as group_iso_code,
+            else {code2("n_regionkey + 1")} end as group_iso_code,
        case when n_nationkey in (22, 23, 24) then n_name else r_name end as group_name,
        n_nationkey = 22 as is_single_member_group,
        n_nationkey in (23, 24) as is_autonomous
@@ -79,7 +85,7 @@ from nation join region on n_regionkey = r_regionkey""",
 )
 cte(
     "order_totals",
-    """select lpad(cast(c_nationkey as varchar), 2, '0') as member_code,
+    f"""select {code2("c_nationkey")} as member_code,
        cast(year(o_orderdate) as bigint) as year, cast(quarter(o_orderdate) as bigint) as quarter,
        sum(cast(floor(o_totalprice * 1e2 + 0.5) as bigint)) as units, count(o_totalprice) as n
 from orders join customer on o_custkey = c_custkey
@@ -137,43 +143,53 @@ from stacked group by 1, 2, 3, 4""",
 )
 cte(
     "lookup",
-    "select distinct group_header, group_code, group_name from mapping where not is_autonomous",
+    "select group_header, group_code, group_name from mapping where not is_autonomous group by all",
     "mapping",
 )
+# which rows of the annual table carry the series of which group
+cte(
+    "carriers",
+    """select 'member' as geo_level, member_label as label, group_code, group_name, 'member_row' as value_source
+from mapping where is_autonomous
+union all select 'group', group_header, group_code, group_name, 'published_group' from lookup
+union all select 'national', 'TOTAL', '00', 'National', 'published_total'""",
+    "mapping", "lookup",
+)
 cte(
     "series",
-    """select l.group_code, l.group_name, a.year, a.value_annual_mean as value, 'published_group' as value_source,
-       a.periods_available, a.is_complete_year
-from annual a join lookup l using (group_header) where a.geo_level = 'group'
-union all
-select m.group_code, m.group_name, a.year, a.value_annual_mean, 'member_row', a.periods_available, a.is_complete_year
-from annual a join mapping m using (member_label) where a.geo_level = 'member' and m.is_autonomous
-union all
-select '00', 'National', year, value_annual_mean, 'published_total', periods_available, is_complete_year
-from annual where geo_level = 'national'""",
-    "annual", "lookup", "mapping",
+    """select c.group_code, c.group_name, a.year, a.value_annual_mean as value, c.value_source, a.periods_available,
+       a.is_complete_year
+from annual a join carriers c on c.geo_level = a.geo_level and c.label = coalesce(a.member_label, a.group_header)""",
+    "annual", "carriers",
 )
 cte(
-    "rollup_",
-    f"""select m.group_code, a.year, {rnd(mean("a.value_annual_mean"), 1)} as member_simple_mean,
-       count(*) as n_members, count(a.value_annual_mean) as n_members_with_data,
-       bool_and(m.is_single_member_group) as is_single_member_group, bool_and(m.is_autonomous) as is_autonomous
-from annual a join mapping m using (member_label) where a.geo_level = 'member' group by 1, 2""",
+    "member_years",
+    """select m.group_code, m.is_single_member_group as single, m.is_autonomous as autonomous, a.year, a.value_annual_mean as v
+from mapping m, annual a where a.member_label = m.member_label""",
     "annual", "mapping",
 )
+cte(
+    "rollup_",
+    f"""select group_code, year, {rnd(mean("v"), 1)} as member_simple_mean, count(*) as n_members, count(v) as n_members_with_data,
+       min(single) as is_single_member_group, min(autonomous) as is_autonomous
+from member_years group by all""",
+    "member_years",
+)
 cte(
     "groups_",
-    """select s.*, r.member_simple_mean, r.n_members, r.n_members_with_data,
-       coalesce(r.is_single_member_group, false) as is_single_member_group,
-       coalesce(r.is_autonomous, false) as is_autonomous, s.group_code = '00' as is_national
-from series s left join rollup_ r on r.group_code = s.group_code and r.year = s.year""",
-    "series", "rollup_",
+    f"""select s.*, r.*, s.group_code = '00' as is_national
+from series s, lateral (
+  select {rnd(mean("v"), 1)} as member_simple_mean, nullif(count(*), 0) as n_members,
+         case when count(*) > 0 then count(v) end as n_members_with_data,
+         coalesce(min(single), false) as is_single_member_group, coalesce(min(autonomous), false) as is_autonomous
+  from member_years y where y.group_code = s.group_code and y.year = s.year) r""",
+    "series", "member_years",
 )
 
 _MEAN2 = "cast(sum({u}) as double) / 1e2 / nullif(sum({n}), 0)"
 cte(
     "line_totals",
-    """select lpad(cast(s_nationkey as varchar), 2, '0') as member_code, cast(year(l_shipdate) as bigint) as year,
+    f"""select {code2("s_nationkey")} as member_code, cast(year(l_shipdate) as bigint) as year,
        l_returnflag, sum(cast(floor(l_extendedprice * 1e2 + 0.5) as bigint)) as units, count(l_extendedprice) as n
 from lineitem join supplier on l_suppkey = s_suppkey
 where l_shipdate >= timestamp '1996-01-01' group by 1, 2, 3""",
@@ -230,74 +246,68 @@ cte(
 from index_long group by 1, 2""",
     "index_long",
 )
+cte("trend_keys", "select group_code, year from wide union select group_code, year from groups_", "wide", "groups_")
 cte(
     "joined",
-    """select coalesce(w.group_code, g.group_code) as group_code, coalesce(w.year, g.year) as year,
-       index_general, index_new, index_second_hand, index_annual_variation_pct,
-       value, value_source, periods_available, is_complete_year, member_simple_mean, n_members
-from wide w full outer join groups_ g on w.group_code = g.group_code and w.year = g.year""",
-    "wide", "groups_",
+    """select group_code, year, w.* exclude (group_code, year), g.* exclude (group_code, year)
+from trend_keys left join wide w using (group_code, year) left join groups_ g using (group_code, year)""",
+    "trend_keys", "wide", "groups_",
 )
-cte(
-    "grown",
-    f"""select *, case when is_complete_year and lag(is_complete_year) over w
-            then {pct("value", "lag(value) over w", 2)} end as value_yoy_pct,
-       {ratio("index_general", "max(case when year = 1996 then index_general end) over (partition by group_code)")}
-           as index_rebased,
-       case when is_complete_year then
-       {ratio("value", "max(case when year = 1996 then value end) over (partition by group_code)")} end as value_rebased
-from joined window w as (partition by group_code order by year)""",
-    "joined",
-)
+_BASED = ratio("j.value", "g0.value")
 cte(
     "trend",
-    f"""select g.group_code, a.group_name, i.group_iso_code, g.year, g.group_code = '00' as is_national,
-       a.is_single_member_group, a.is_autonomous, n_members,
-       index_general, index_new, index_second_hand, index_annual_variation_pct,
-       value, value_source, periods_available, is_complete_year, member_simple_mean, value_yoy_pct,
-       cast(1996 as bigint) as rebase_year, index_rebased, value_rebased,
-       {rnd("value_rebased - index_rebased", 2)} as rebased_gap_pts
-from grown g
-left join (select distinct group_code, group_name, is_single_member_group, is_autonomous from groups_) a
-  on a.group_code = g.group_code
-left join (select distinct group_code, group_iso_code from mapping) i on i.group_code = g.group_code""",
-    "grown", "groups_", "mapping",
+    f"""select j.group_code, (select max(x.group_name) from groups_ x where x.group_code = j.group_code) as group_name,
+       (select max(x.group_iso_code) from mapping x where x.group_code = j.group_code) as group_iso_code,
+       j.year, j.group_code = '00' as is_national,
+       (select max(x.is_single_member_group) from groups_ x where x.group_code = j.group_code) as is_single_member_group,
+       (select max(x.is_autonomous) from groups_ x where x.group_code = j.group_code) as is_autonomous, j.n_members,
+       j.index_general, j.index_new, j.index_second_hand, j.index_annual_variation_pct,
+       j.value, j.value_source, j.periods_available, j.is_complete_year, j.member_simple_mean,
+       case when j.is_complete_year and p.is_complete_year then {pct("j.value", "p.value", 2)} end as value_yoy_pct,
+       cast(1996 as bigint) as rebase_year, {ratio("j.index_general", "w0.index_general")} as index_rebased,
+       case when j.is_complete_year then {_BASED} end as value_rebased,
+       {rnd(f"case when j.is_complete_year then {_BASED} end - " + ratio("j.index_general", "w0.index_general"), 2)} as rebased_gap_pts
+from joined j
+left join wide w0 on w0.group_code = j.group_code and w0.year = 1996
+left join groups_ g0 on g0.group_code = j.group_code and g0.year = 1996
+left join groups_ p on p.group_code = j.group_code
+     and p.year = (select max(k.year) from trend_keys k where k.group_code = j.group_code and k.year < j.year)""",
+    "joined", "wide", "groups_", "trend_keys", "mapping",
 )
 cte(
-    "member_pivot",
-    f"""select {MEMBER_ATTRIBUTES},
-       max(case when year = 1996 then value_annual_mean end) as value_base,
-       max(case when year = 1998 then value_annual_mean end) as value_recent_base,
-       max(case when year = 2000 then value_annual_mean end) as value_last
-from annual join mapping using (member_label) where geo_level = 'member' and is_complete_year group by all""",
-    "annual", "mapping",
-)
+    "full_years",
+    "select member_label, year, value_annual_mean as v from annual where geo_level = 'member' and is_complete_year",
+    "annual",
+)
 cte(
     "windows",
-    f"""select *, {pct("value_last", "value_base", 1)} as growth_pct,
-       {rnd("100 * (pow(value_last / nullif(value_base, 0), 0.25e0) - 1)", 2)} as cagr_pct,
-       {pct("value_last", "value_recent_base", 1)} as growth_pct_recent
-from member_pivot""",
-    "member_pivot",
-)
+    f"""select {MEMBER_ATTRIBUTES}, a.v as value_base, b.v as value_recent_base, c.v as value_last,
+       {pct("c.v", "a.v", 1)} as growth_pct, {rnd("100 * (pow(c.v / nullif(a.v, 0), 0.25e0) - 1)", 2)} as cagr_pct,
+       {pct("c.v", "b.v", 1)} as growth_pct_recent
+from mapping m
+left join full_years a on a.member_label = m.member_label and a.year = 1996
+left join full_years b on b.member_label = m.member_label and b.year = 1998
+left join full_years c on c.member_label = m.member_label and c.year = 2000
+where m.member_label in (select member_label from full_years)""",
+    "mapping", "full_years",
+)
 cte(
     "group_growth",
-    f"""select group_code, {pct("gl", "gb", 1)} as v_full, {pct("gl", "gr", 1)} as v_recent,
-       {pct("il", "ib", 1)} as i_full, {pct("il", "ir", 1)} as i_recent
-from (select group_code,
-        max(case when year = 1996 then value end) as gb, max(case when year = 1998 then value end) as gr,
-        max(case when year = 2000 then value end) as gl,
-        max(case when year = 1996 then index_general end) as ib, max(case when year = 1998 then index_general end) as ir,
-        max(case when year = 2000 then index_general end) as il from trend group by 1)""",
+    f"""select k.group_code, {pct("c.value", "a.value", 1)} as v_full, {pct("c.value", "b.value", 1)} as v_recent,
+       {pct("c.index_general", "a.index_general", 1)} as i_full, {pct("c.index_general", "b.index_general", 1)} as i_recent
+from (select group_code from trend group by 1) k
+left join trend a on a.group_code = k.group_code and a.year = 1996
+left join trend b on b.group_code = k.group_code and b.year = 1998
+left join trend c on c.group_code = k.group_code and c.year = 2000""",
     "trend",
 )
 cte(
     "benchmarked",
-    """select w.*, g.v_full as group_value_growth_pct, g.v_recent as group_value_growth_pct_recent,
-       g.i_full as group_index_growth_pct, g.i_recent as group_index_growth_pct_recent,
-       n.v_full as national_value_growth_pct, n.i_full as national_index_growth_pct
-from windows w left join group_growth g on g.group_code = w.group_code
-cross join (select * from group_growth where group_code = '00') n""",
+    """select w.*, v_full as group_value_growth_pct, v_recent as group_value_growth_pct_recent,
+       i_full as group_index_growth_pct, i_recent as group_index_growth_pct_recent,
+       (select v_full from group_growth where group_code = '00') as national_value_growth_pct,
+       (select i_full from group_growth where group_code = '00') as national_index_growth_pct
+from windows w left join group_growth using (group_code)""",
     "windows", "group_growth",
 )
 _RANK = """case when growth_rank <= 5 then 'Top 5'
@@ -305,14 +315,12 @@ _RANK = """case when growth_rank <= 5 then 'Top 5'
 cte(
     "summary",
     f"""select *, {_RANK} from (
-  select {MEMBER_ATTRIBUTES}, cast(1996 as bigint) as base_year, cast(1998 as bigint) as recent_base_year,
-         cast(2000 as bigint) as last_year, value_base, value_recent_base, value_last, growth_pct, cagr_pct,
-         growth_pct_recent, group_value_growth_pct, group_value_growth_pct_recent, group_index_growth_pct,
-         group_index_growth_pct_recent, national_value_growth_pct, national_index_growth_pct,
-         {rnd("growth_pct - group_value_growth_pct", 1)} as growth_vs_group_pp,
-         {rnd("growth_pct - national_value_growth_pct", 1)} as growth_vs_national_pp,
-         rank() over (order by growth_pct desc nulls last) as growth_rank
-  from benchmarked)""",
+  select x.*, cast(1996 as bigint) as base_year, cast(1998 as bigint) as recent_base_year, cast(2000 as bigint) as last_year,
+         {rnd("x.growth_pct - x.group_value_growth_pct", 1)} as growth_vs_group_pp,
+         {rnd("x.growth_pct - x.national_value_growth_pct", 1)} as growth_vs_national_pp,
+         1 + (select count(*) from benchmarked o
+              where o.growth_pct > x.growth_pct or x.growth_pct is null and o.growth_pct is not null) as growth_rank
+  from benchmarked x)""",
     "benchmarked",
 )
 cte(
@@ -333,9 +341,7 @@ cte(
        m.group_name, q.year, q.quarter, q.quarter_start_date, q.value, q.value_flag, q.value_prior_year, q.yoy_pct,
        cast(1996 as bigint) as rebase_year, {ratio("q.value", "b.base_value")} as index_rebased,
        m.is_single_member_group, m.is_autonomous,
-       case when m.is_single_member_group then 'Single-member group: value is the published group row (member = group)'
-            when m.is_autonomous then 'Autonomous member: listed under a shared header, mapped to its own code'
-            else 'Member of a group with several members' end as member_note,
+       case when m.is_single_member_group then 'single' when m.is_autonomous then 'autonomous' else 'regular' end as member_note,
        s.growth_rank, s.rank_group
 from prior q join mapping m using (member_label)
 left join base_mean b on b.member_label = q.member_label
@@ -512,8 +518,8 @@ growth as (select c_custkey, {pct("b", "a", 1)} as growth_pct from customer left
 select *, {_RANK} from (select *, rank() over (order by growth_pct desc nulls last) as growth_rank from growth)"""
     out["finding_spread"] = sql(
         f"""select {rnd("max(growth_pct) - min(growth_pct)", 1)} as spread_pp,
-       {rnd(mean("case when rank_group = 'Top 5' then growth_pct end", 1), 1)} as top_mean_pct,
-       {rnd(mean("case when rank_group = 'Bottom 5' then growth_pct end", 1), 1)} as bottom_mean_pct,
+       {rnd(mean("case when rank_group = 'Top 5' then growth_pct end"), 1)} as top_mean_pct,
+       {rnd(mean("case when rank_group = 'Bottom 5' then growth_pct end"), 1)} as bottom_mean_pct,
        count(*) filter (where growth_pct > national_value_growth_pct) as n_above_national, count(*) as n_members,
        median(growth_pct) as median_growth_pct
 from summary""",
@@ -602,16 +608,17 @@ union all
 select 'S1', 'quarter without year', null, 2 + ((year - 1995) % 4) * 4 + quarter - 1, cast(quarter as varchar)
 from calendar where (year - 1995) // 4 = 1
 union all
-select source_sheet, 'repeated header', 14 + 1000 * 6, null, 'AFRICA' from (select distinct source_sheet from members)""",
-        "members", "calendar",
+select source_sheet, 'repeated header', 14 + 1 + 5 + (select count(*) from mapping where group_header not in ('SOLO', 'SHARED')),
+       null, 'AFRICA' from (select distinct source_sheet from members)""",
+        "members", "calendar", "mapping",
     )
 
     # text and cells
     out["normalise_labels"] = f"select doc_id, {LABEL} as label from documents"
     out["alias_labels"] = """select p_partkey, case label when '(Brand#1)' then '(Brand#01)' when '(Brand#2)' then '(Brand#02)'
        else label end as label from (select p_partkey, '(' || p_brand || ')' as label from part)"""
-    out["split_code_prefix"] = """select c_custkey, case when c_custkey % 3 = 0 then '00'
-       else lpad(cast(c_nationkey as varchar), 2, '0') end as code, c_name as name from customer"""
+    out["split_code_prefix"] = f"""select c_custkey, case when c_custkey % 3 = 0 then '00'
+       else {code2("c_nationkey")} end as code, c_name as name from customer"""
     out["parse_locale_number"] = """select o_orderkey, case when o_orderstatus <> 'P' then o_totalprice end as strict_value,
        case when o_orderstatus <> 'P' then o_totalprice end as lenient_value from orders"""
     out["decode_sentinels"] = """select event_id,
@@ -650,18 +657,18 @@ from events"""
         " where o_orderpriority not in ('1-URGENT', '2-HIGH', '3-MEDIUM') group by 1"
     )
     out["dq_relationships"] = (
-        "select l_orderkey, count(*) as n_rows from lineitem where l_orderkey is not null and not exists"
-        " (select 1 from orders where o_orderkey = l_orderkey and o_orderstatus <> 'P') group by 1"
+        "select doc_id, count(*) as n_rows from documents where doc_id is not null and doc_id not in"
+        " (select doc_id from labels where doc_id is not null) group by 1"
     )
     out["dq_reverse_coverage"] = sql(
         "select c.c_custkey, count(a.c_custkey) as n_periods from customer c left join active a on a.c_custkey = c.c_custkey"
         " group by 1 having count(a.c_custkey) <> (select count(distinct year) from active)",
         "active",
     )
-    out["dq_set_equality"] = """select coalesce(l.c_custkey, r.o_custkey) as c_custkey, l.c_custkey is not null as in_left,
-       r.o_custkey is not null as in_right
-from customer l full outer join (select distinct o_custkey from orders where o_orderstatus = 'P') r on l.c_custkey = r.o_custkey
-where l.c_custkey is null or r.o_custkey is null"""
+    out["dq_set_equality"] = """(select doc_id, true as in_left, false as in_right from documents
+   where doc_id not in (select doc_id from labels where doc_id is not null) group by 1)
+union all
+(select doc_id, false, true from labels where doc_id not in (select doc_id from documents where doc_id is not null) group by 1)"""
     out["dq_domain"] = """select coalesce(l.s, r.s) as o_orderstatus, l.s is not null as in_left, r.s is not null as in_right
 from (select distinct o_orderstatus as s from orders) l full outer join (values ('F'), ('O'), ('X')) r(s) on l.s = r.s
 where l.s is null or r.s is null"""

@@ -16,10 +16,11 @@ class PanelConfig:
     top_n: int = 5
     national_code: str = "00"
     national_name: str = "National"
-    # Decimal places the period values carry; means are summed as integers at
-    # this scale so that the result does not depend on the order of the rows.
-    # None takes a plain floating-point average.
-    value_scale: int | None = 4
+    # Decimal places to round period values to before a mean is taken; None
+    # keeps all of them.
+    value_scale: int | None = None
+    # The index source begins with this year, whatever older rows it holds.
+    index_first_year: int = 1
 
 
 @dataclass(frozen=True)

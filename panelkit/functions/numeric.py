@@ -76,8 +76,12 @@ def mean_from_units(units: Column, count: Column, scale: int) -> Column:
     return F.try_divide(units.cast("double") / 10.0**scale, count)
 
 
-def mean(value: Column, scale: int | None) -> Column:
-    """Average that ignores NULL; independent of row order when scale is given."""
+def mean(value: Column, scale: int | None = None) -> Column:
+    """Average that ignores NULL and does not depend on the order of rows.
+
+    The sum is exact in decimals of 18 places; what does not fit them raises. With ``scale`` values are first rounded
+    to so many places.
+    """
     if scale is None:
-        return F.avg(value)
+        return F.try_divide(F.sum(value.cast("decimal(38,18)")).cast("double"), F.count(value))
     return mean_from_units(F.sum(fixed_point(value, scale)), F.count(value), scale)

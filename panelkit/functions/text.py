@@ -23,6 +23,8 @@ MISSING_TOKENS = (
     "n/a", "nan", "null",
 )
 
+NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
 NO_DATA = "no_data"
 NOT_REPRESENTATIVE = "not_representative"
 
@@ -64,11 +66,19 @@ def _prefixed(digits: int) -> str:
 def locale_number(text: Column, strict: bool = True, tokens: tuple[str, ...] = ("",)) -> Column:
     """A number written with a decimal comma.
 
-    Missing tokens become NULL. Other text that is no number raises when strict
-    (ANSI cast) and becomes NULL otherwise.
+    Missing tokens become NULL. Other text that is no number, by the pattern and
+    not only to the cast, raises when strict and becomes NULL otherwise.
     """
     plain = F.when(~strip(text).isin(*tokens), F.replace(strip(text), F.lit(","), F.lit(".")))
-    return plain.cast("double") if strict else plain.try_cast("double")
+    # a cast that is bound to fail names the text
+    other = F.concat(F.lit("no number: "), plain).cast("double") if strict else F.lit(None).cast("double")
+    return F.when(plain.rlike(NUMBER), plain.try_cast("double")).otherwise(other)
+
+
+def padded(number: Column, digits: int = 2) -> Column:
+    """A number as text with leading zeros; longer ones stay whole."""
+    plain = number.cast("string")
+    return F.when(F.length(plain) < digits, F.lpad(plain, digits, "0")).otherwise(plain)
 
 
 def year_label(text: Column, pattern: str) -> Column:

@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.sources.staging import stage
+
 TOLERANCE = 0.001
 
 
@@ -91,10 +93,13 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
 def reverse_coverage(parent: DataFrame, data: DataFrame, key: str, periods: Sequence[str]) -> DataFrame:
     """Parents without data for every period that occurs anywhere.
 
-    The data is counted per key first; a parent without any keeps a zero.
+    Each period counts once, however many rows it has; a NULL in it is a value
+    like any other. The distinct periods of the keys are stored, since both the
+    keys and the whole are counted from them; a parent without any keeps a zero.
     """
-    held = data.groupBy(key).agg(F.count(F.lit(1)).alias("n_periods"))
-    expected = data.agg(F.countDistinct(F.concat_ws("-", *periods)).alias("n")).scalar()
+    known = stage(data.select(key, F.struct(*periods).alias("__period")).distinct(), "periods-held")
+    held = known.groupBy(key).agg(F.count(F.lit(1)).alias("n_periods"))
+    expected = known.select("__period").distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
     return (
         parent.select(key)
         .join(held, key, "left")
@@ -114,9 +119,9 @@ def set_equality(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
 
 
 def accepted_domain(df: DataFrame, column: str, expected: Sequence[str]) -> DataFrame:
-    """Observed against expected values, both ways."""
+    """Observed against expected values, both ways; a NULL is a value that nobody expects."""
     wanted = df.sparkSession.createDataFrame([(v,) for v in expected], f"{column} string")
-    return set_equality(df.filter(F.col(column).isNotNull()), wanted, column)
+    return set_equality(df, wanted, column)
 
 
 def hierarchy_agrees(data: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +24,14 @@ HEADER, CHILD = "header", "child"
 
 
 def apply_aliases(df: DataFrame, column: str, aliases: DataFrame) -> DataFrame:
-    """Replace known spellings; aliases is (variant, canonical) with unique variants.
+    """Replace known spellings; aliases is (variant, canonical).
 
-    Other spellings pass through, for the tree checks to find.
+    Other spellings pass through, for the tree checks to find. A variant that is
+    listed twice raises, since it would repeat rows.
     """
+    twice = F.raise_error(F.concat(F.lit("alias listed twice: "), F.col("variant"))).cast("string")
+    aliases = aliases.groupBy("variant").agg(F.max("canonical").alias("canonical"), F.count(F.lit(1)).alias("__n"))
+    aliases = aliases.select("variant", F.when(F.col("__n") > 1, twice).otherwise(F.col("canonical")).alias("canonical"))
     joined = df.join(aliases, F.col(column) == F.col("variant"), "left")
     return joined.withColumn(column, F.coalesce("canonical", column)).drop("variant", "canonical")
 
@@ -86,8 +91,11 @@ def classify_rows(
     labels = cells.filter((F.col("col") == layout.label_col) & (F.col("row") >= layout.first_data_row)).select(
         "sheet", "row", label.alias("label")
     )
-    at_end = (F.col("label") == "") | F.col("label").startswith(layout.footnote_prefix)
-    block = cut_block(labels, ["sheet"], "row", at_end, layout.block_rows)
+    labels = number_in_group(labels, ["sheet"], "row", "__nth", layout.block_rows)
+    # an absent label ends the block as a blank one does
+    gap = F.col("row") - layout.first_data_row + 1 != F.col("__nth")
+    at_end = (F.col("label") == "") | F.col("label").startswith(layout.footnote_prefix) | gap
+    block = cut_block(labels, ["sheet"], "row", at_end, layout.block_rows).drop("__nth")
     kind = (
         F.when(F.col("label") == layout.national_label, NATIONAL)
         .when(F.col("label").isin(*headers), HEADER)
@@ -138,9 +146,12 @@ def parse_grid(
     The cells are then joined to both and decoded in a single pass; the decoded
     cells are stored, because both panels and the error list read them.
     """
+    # labels and headings are few; stored, they are read as often as their order asks for
+    is_label = (F.col("col") == layout.label_col) & (F.col("row") >= layout.first_data_row)
+    outline = stage(cells.filter(is_label | F.col("row").isin(layout.year_row, layout.quarter_row)), "grid-outline")
     rows, periods = together(
-        lambda: stage(classify_rows(cells, headers, aliases or {}, layout), "grid-rows"),
-        lambda: stage(period_map(cells, layout), "grid-periods"),
+        lambda: stage(classify_rows(outline, headers, aliases or {}, layout), "grid-rows"),
+        lambda: stage(period_map(outline, layout), "grid-periods"),
     )
     tree = stage(hierarchy(rows, self_names, layout), "grid-tree")
 
@@ -153,9 +164,9 @@ def parse_grid(
 
     data = cells.filter((F.col("col") > layout.label_col) & (F.col("row") >= layout.first_data_row))
     values = (
-        # the small period table first: it drops the columns that are no periods
-        data.join(periods, ["sheet", "col"])
-        .join(targets, ["sheet", "row"])
+        # every row in every period, so that an absent cell is one without data
+        targets.join(periods, "sheet")
+        .join(data, ["sheet", "row", "col"], "left")
         .select(
             "sheet",
             "row",
@@ -223,10 +234,13 @@ def tree_consistency(tree: DataFrame, keys: Sequence[str] = ("header", "position
     Each row looks for its twin in the first tree; a sheet agrees when all its
     rows match and none is missing. No list of a whole sheet is ever built.
     """
-    expected = tree.filter(F.col(sheet) == first_sheet(tree, sheet)).select(*keys).withColumn("__hit", F.lit(1))
+    other = [F.col(k).alias(f"__{k}") for k in keys]
+    expected = tree.filter(F.col(sheet) == first_sheet(tree, sheet)).select(*other, F.lit(1).alias("__hit"))
     size = expected.agg(F.count(F.lit(1)).alias("n")).scalar()
+    # a NULL equals a NULL
+    twin = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
     counted = (
-        tree.join(expected, list(keys), "left")
+        tree.join(expected, twin, "left")
         .groupBy(sheet)
         .agg(F.count(F.lit(1)).alias("n_rows"), F.count("__hit").alias("n_matching"))
     )

@@ -40,23 +40,20 @@ def carry_forward(
 ) -> DataFrame:
     """The last non-NULL value at or before each row, in position order.
 
-    Only positions are aggregated per block. The values themselves, which may
-    be long texts, are fetched for the few blocks that inherit one, so the rows
-    are shuffled once, by (group, block).
+    Each block tells its last value, one row per block; the rows are read twice
+    and shuffled once, by (group, block).
     """
     marked = _with_block(df.withColumn(_OWN, value), position, block_rows)
     group = [*keys, _BLOCK]
-    held = F.max(F.when(F.col(_OWN).isNotNull(), F.col(position)))
-    inherited = (
+    last = F.max_by(_OWN, F.when(F.col(_OWN).isNotNull(), F.col(position)))
+    carried = (
         marked.groupBy(*group)
-        .agg(held.alias("last"))
-        .select(*group, F.max("last").over(_earlier(keys)).alias(position))
-        .filter(F.col(position).isNotNull())
+        .agg(last.alias("last"))
+        .select(*group, F.last("last", ignorenulls=True).over(_earlier(keys)).alias(_CARRIED))
     )
-    carried = marked.select(*keys, position, F.col(_OWN).alias(_CARRIED)).join(inherited, [*keys, position])
     inside = Window.partitionBy(*group).orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        marked.join(carried.select(*group, _CARRIED), group, "left")
+        marked.join(carried, group, "left")
         .withColumn(out, F.coalesce(F.last(_OWN, ignorenulls=True).over(inside), F.col(_CARRIED)))
         .select(*df.columns, out)
     )

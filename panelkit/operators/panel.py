@@ -50,7 +50,7 @@ def annualise(
     df: DataFrame,
     keys: Sequence[str] = ("geo_level", "group_header", "member_label", "year"),
     periods: int = 4,
-    scale: int | None = 4,
+    scale: int | None = None,
     digits: int = 1,
 ) -> DataFrame:
     """Mean of the periods that have a value, and how complete the year is."""
@@ -106,7 +106,7 @@ def published_series(annual: DataFrame, mapping: DataFrame, national_code: str,
     )
 
 
-def simple_mean_rollup(annual: DataFrame, mapping: DataFrame, scale: int | None = 4, digits: int = 1) -> DataFrame:
+def simple_mean_rollup(annual: DataFrame, mapping: DataFrame, scale: int | None = None, digits: int = 1) -> DataFrame:
     """Unweighted mean of the members of a group, as a cross-check of the published value."""
     members = annual.filter(F.col("geo_level") == MEMBER).select("member_label", "year", "value_annual_mean")
     codes = mapping.select("member_label", "group_code", "is_single_member_group", "is_autonomous")

@@ -1,9 +1,8 @@
 """Global ranks and medians at any number of rows.
 
-``rank() over (order by x)`` sends every row to one task. That is fine for a
-table whose counted size is small; beyond it the distinct values are counted
-first, so ties of any size shrink to one row, and are then cut into ranges whose
-totals give each range its offset.
+``rank() over (order by x)`` sends every row to one task. Here distinct values are counted first, so ties of any size
+shrink to one row. The counts are dealt out by ranges of the value, as many as their number asks for, and the totals of
+the ranges give each its offset. Values keep the type of their column.
 """
 
 from __future__ import annotations
@@ -11,59 +10,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.sources.staging import Counted, stage_counted
+from panelkit.sources.staging import Counted, stage, stage_counted
 
-RANGES = 200
-# Rows that a single task may rank.
-SMALL_ROWS = 100_000
-HOT_SHARE = 1000
+# Distinct values that one task sorts.
+RANGE_VALUES = 100_000
+# A value held by more than one row in so many is looked up by broadcast; there are fewer than so many of them.
+HOT_SHARE = 100_000
 
 
-def value_positions(df: DataFrame, value: str, ranges: int = RANGES) -> DataFrame:
+def value_positions(df: DataFrame, value: str, range_values: int = RANGE_VALUES) -> DataFrame:
     """One row per distinct value, best first: how many rows precede it, and how many hold it.
 
     NULL comes last. Columns: ``value``, ``n``, ``before``.
     """
-    counts = df.groupBy(F.col(value).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    # at most `ranges` numbers reach the driver, whatever the size of the input
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(counts.agg(F.percentile_approx("value", shares, 10_000)).first()[0] or []))
-    # the same cut points for every use of the plan: ranges are a pure function of the value
-    above = F.lit(0)
-    if cuts:
-        above = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda cut: cut > F.col("value")))
-    ranged = counts.withColumn("range", F.when(F.col("value").isNull(), F.lit(len(cuts) + 1)).otherwise(above))
-    totals = ranged.groupBy("range").agg(F.sum("n").alias("total"))
-    # one row per range, so this window is bounded
+    counts = stage_counted(df.groupBy(F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    ranges = max(1, -(-counts.rows // range_values))
+    by_value = F.col("value").desc_nulls_last()
+    # stored with their range, which is decided once
+    ranged = counts.frame.repartitionByRange(ranges, by_value).withColumn("range", F.spark_partition_id())
+    ranged = stage(ranged, "value-ranges")
+    # one row per range
     earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("range", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset"))
-    inside = (
-        Window.partitionBy("range").orderBy(F.col("value").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("range").agg(F.sum("n").alias("total")).select(
+        "range", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset")
     )
+    inside = Window.partitionBy("range").orderBy(by_value).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        ranged.join(F.broadcast(offsets), "range")
+        ranged.join(offsets, "range")
         .withColumn("before", F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
         .select("value", "n", "before")
     )
 
 
-def with_rank(
-    df: DataFrame, value: str, rank: str, total: str, at_most: int | None = None, small_rows: int = SMALL_ROWS
-) -> DataFrame:
-    """Rank by descending value, and the number of rows; ties share a rank, gaps follow, NULL ranks last.
-
-    ``at_most`` is a proven bound on the rows, such as the size of the table they
-    come from. Without one, or beyond ``small_rows``, the frame is stored and
-    ranked by value ranges.
-    """
-    if at_most is not None and at_most <= small_rows:
-        whole = Window.partitionBy()
-        order = whole.orderBy(F.col(value).desc_nulls_last())
-        return df.select(
-            "*",
-            F.rank().over(order).cast("bigint").alias(rank),
-            F.count(F.lit(1)).over(whole).alias(total),
-        )
+def with_rank(df: DataFrame, value: str, rank: str, total: str) -> DataFrame:
+    """Rank by descending value, and the number of rows; ties share a rank, gaps follow, NULL ranks last."""
     stored = stage_counted(df, "ranked")
     return _ranked_by_ranges(stored, value, rank).withColumn(total, F.lit(stored.rows).cast("bigint"))
 
@@ -71,9 +51,8 @@ def with_rank(
 def _ranked_by_ranges(stored: Counted, value: str, rank: str) -> DataFrame:
     """Look the rank of each value up.
 
-    Values held by more than one row in HOT_SHARE are fewer than HOT_SHARE, so
-    they can be broadcast. Their rows need no second lookup; they are spread over
-    all tasks instead of meeting at one key.
+    Values held by more than one row in HOT_SHARE can be broadcast. Their rows need no second lookup; they are spread
+    over all tasks instead of meeting at one key.
     """
     df = stored.frame
     positions = value_positions(df, value).select(
@@ -82,9 +61,11 @@ def _ranked_by_ranges(stored: Counted, value: str, rank: str) -> DataFrame:
     is_hot = F.col("n") * HOT_SHARE > stored.rows
     hot = positions.filter(is_hot).select(F.col("__v").alias("__hot_v"), F.col("__rank").alias("__hot_rank"))
     cold = positions.filter(~is_hot).select("__v", "__rank", F.lit(0).cast("bigint").alias("__spread"))
-    own = F.col(value).cast("double")
+    own = F.col(value)
     spread = F.when(F.col("__hot_rank").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*df.columns), F.lit(HOT_SHARE)))
     rows = df.join(F.broadcast(hot), own.eqNullSafe(F.col("__hot_v")), "left").withColumn("__row_spread", spread)
+    if stored.rows < HOT_SHARE:  # then every value is broadcast, there is nothing left to look up
+        return rows.select(*df.columns, F.col("__hot_rank").alias(rank))
     found = rows.join(cold, own.eqNullSafe(F.col("__v")) & (F.col("__row_spread") == F.col("__spread")), "left")
     return found.select(*df.columns, F.coalesce("__hot_rank", "__rank").alias(rank))
 
@@ -99,17 +80,15 @@ def rank_label(rank: Column, total: Column, n: int) -> Column:
     return F.when(rank <= n, F.lit(f"Top {n}")).when(rank > total - n, F.lit(f"Bottom {n}"))
 
 
-def median(df: DataFrame, value: str, at_most: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """Exact median of the non-NULL values, one row."""
-    if at_most is not None and at_most <= small_rows:
-        return df.agg(F.median(value).alias("median"))
+def median(df: DataFrame, value: str) -> DataFrame:
+    """Exact median of the non-NULL values, one row; halves are taken before they are added."""
     known = df.filter(F.col(value).isNotNull())
     positions = value_positions(known, value)
     count = row_count(known)
     lower, upper = F.floor((count - 1) / 2), F.floor(count / 2)
 
-    def holds(position: Column) -> Column:
-        return (F.col("before") <= position) & (position < F.col("before") + F.col("n"))
+    def holder(position: Column) -> Column:
+        held = (F.col("before") <= position) & (position < F.col("before") + F.col("n"))
+        return F.max(F.when(held, F.col("value"))).cast("double")
 
-    middle = (F.max(F.when(holds(lower), F.col("value"))) + F.max(F.when(holds(upper), F.col("value")))) / 2
-    return positions.agg(middle.alias("median"))
+    return positions.agg((holder(lower) / 2 + holder(upper) / 2).alias("median"))

@@ -17,7 +17,7 @@ from panelkit.operators import checks, grid, growth, ordered, panel, profiling
 from panelkit.plans import index_file, marts, trade
 from panelkit.plans.trade import CONFIG
 from panelkit.sources import tables
-from panelkit.sources.staging import shared_dir, stage, stage_counted
+from panelkit.sources.staging import shared_dir, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -242,8 +242,14 @@ def customer_growth(t: Trade) -> DataFrame:
     """Growth of the order value of each customer between the first and the last year."""
     year = F.year("o_orderdate")
     units = numeric.fixed_point(F.col("o_totalprice"), trade.MONEY_SCALE)
+    # plain ranges of dates, which reach the scan
+    in_year = [
+        (F.col("o_orderdate") >= F.lit(f"{y}-01-01").cast("timestamp_ntz")) & (F.col("o_orderdate") < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz"))
+        for y in (CONFIG.base_year, CONFIG.last_full_year)
+    ]
     by_customer = (
         t.table("orders")
+        .filter(in_year[0] | in_year[1])
         .groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(
             *[
@@ -262,14 +268,12 @@ def customer_growth(t: Trade) -> DataFrame:
 
 @query
 def rank_groups(t: Trade) -> DataFrame:
-    """Customers have no bound, so they are ranked by value ranges."""
     return growth.rank_groups(customer_growth(t), top_n=CONFIG.top_n)
 
 
 @query
 def finding_spread(t: Trade) -> DataFrame:
-    summary = stage_counted(t.summary, "summary")
-    return growth.spread(summary.frame, CONFIG.top_n, summary.rows)
+    return growth.spread(stage(t.summary, "summary"), CONFIG.top_n)
 
 
 @query
@@ -405,7 +409,7 @@ def alias_labels(t: Trade) -> DataFrame:
 
 
 def labelled_customers(t: Trade) -> DataFrame:
-    code = F.lpad(F.col("c_nationkey").cast("string"), 2, "0")
+    code = text.padded(F.col("c_nationkey"))
     with_code = F.concat(F.lit(" \t"), code, F.lit("  "), F.col("c_name"), F.lit("  "))
     return t.table("customer").select(
         "c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).otherwise(with_code).alias("label")
@@ -424,7 +428,7 @@ def written_prices(t: Trade) -> DataFrame:
     """Prices written with a decimal comma; some are blank, some are no numbers."""
     status = F.col("o_orderstatus")
     whole = F.floor(numeric.fixed_point(F.col("o_totalprice"), 2) / 100).cast("string")
-    cents = F.lpad((numeric.fixed_point(F.col("o_totalprice"), 2) % 100).cast("string"), 2, "0")
+    cents = text.padded(numeric.fixed_point(F.col("o_totalprice"), 2) % 100)
     written = F.concat(F.lit(" "), whole, F.lit(","), cents)
     return t.table("orders").select(
         "o_orderkey",
@@ -509,8 +513,8 @@ def dq_accepted_values(t: Trade) -> DataFrame:
 
 @query
 def dq_relationships(t: Trade) -> DataFrame:
-    open_orders = t.table("orders").filter(F.col("o_orderstatus") != "P")
-    return checks.relationships(t.table("lineitem"), "l_orderkey", open_orders, "o_orderkey")
+    """Documents without a label; labels cover a part of them."""
+    return checks.relationships(t.table("documents"), "doc_id", t.table("labels"))
 
 
 def active_years(t: Trade) -> DataFrame:
@@ -524,8 +528,7 @@ def dq_reverse_coverage(t: Trade) -> DataFrame:
 
 @query
 def dq_set_equality(t: Trade) -> DataFrame:
-    buyers = t.table("orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
-    return checks.set_equality(t.table("customer"), buyers, "c_custkey")
+    return checks.set_equality(t.table("documents"), t.table("labels"), "doc_id")
 
 
 @query

@@ -121,14 +121,14 @@ def trend_model(inputs: PanelInputs, groups: DataFrame, cfg: PanelConfig) -> Dat
 def build_models(inputs: PanelInputs, cfg: PanelConfig) -> Models:
     """All models in dependency order.
 
-    The annual table and the marts are read by several later models or checks,
-    so they are stored once; the group table stays a lazy frame.
+    The tables that several later models or checks read are stored once; the
+    last mart stays a lazy frame.
     """
     annual = stage(annual_model(inputs, cfg), "annual")
-    groups = group_model(annual, inputs.mapping, cfg)
+    groups = stage(group_model(annual, inputs.mapping, cfg), "groups")
     trend = stage(trend_model(inputs, groups, cfg), "trend")
     summary = stage(growth.growth_summary(annual, trend, inputs.mapping, cfg), "summary")
-    member_trend = stage(growth.trend_by_member(inputs.members, annual, summary, inputs.mapping, cfg), "member-trend")
+    member_trend = growth.trend_by_member(inputs.members, annual, summary, inputs.mapping, cfg)
     return Models(inputs, annual, groups, trend, summary, member_trend)
 
 

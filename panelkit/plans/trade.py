@@ -10,7 +10,7 @@ later steps work on the reduced tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelkit.config import GridLayout, PanelConfig
@@ -20,7 +20,7 @@ from panelkit.plans.index_file import stage_index
 from panelkit.plans.marts import PanelInputs, stage_members, stage_published
 from panelkit.sources.staging import stage, together
 
-CONFIG = PanelConfig(base_year=1996, recent_base_year=1998, last_full_year=2000)
+CONFIG = PanelConfig(base_year=1996, recent_base_year=1998, last_full_year=2000, index_first_year=1996)
 MIN_OBS = 10
 
 # Members outside the regular groups, by nation key.
@@ -28,7 +28,6 @@ SINGLE_MEMBER = {22: "06"}
 AUTONOMOUS = {23: "07", 24: "08"}
 SINGLE_HEADER, SHARED_HEADER, TOTAL_HEADER = "SOLO", "SHARED", "TOTAL"
 
-INDEX_FIRST_YEAR = 1996
 INDEX_BASE_YEAR = 2000
 MONEY_SCALE = 2
 
@@ -49,8 +48,8 @@ def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     key = F.col("n_nationkey")
-    code = F.lpad(key.cast("string"), 2, "0")
-    group = _special(key, SINGLE_MEMBER | AUTONOMOUS, F.lpad((F.col("n_regionkey") + 1).cast("string"), 2, "0"))
+    code = text.padded(key)
+    group = _special(key, SINGLE_MEMBER | AUTONOMOUS, text.padded(F.col("n_regionkey") + 1))
     single, autonomous = key.isin(*SINGLE_MEMBER), key.isin(*AUTONOMOUS)
     return joined.select(
         code.alias("member_code"),
@@ -90,7 +89,7 @@ def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         per_customer.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("c_nationkey", "year", "quarter")
         .agg(F.sum(F.col("units").cast("decimal(38,0)")).alias("units"), F.sum("n").alias("n"))
-        .withColumn("member_code", F.lpad(F.col("c_nationkey").cast("string"), 2, "0"))
+        .withColumn("member_code", text.padded(F.col("c_nationkey")))
         .drop("c_nationkey")
     )
     return stage(totals, "order-totals")
@@ -153,7 +152,7 @@ def line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     per_supplier = (
         table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_shipdate") >= F.lit(f"{INDEX_FIRST_YEAR}-01-01").cast("timestamp_ntz"))
+        .filter(F.col("l_shipdate") >= F.lit(f"{CONFIG.index_first_year:04d}-01-01").cast("timestamp_ntz"))
         .groupBy("l_suppkey", F.year("l_shipdate").cast("bigint").alias("year"), "l_returnflag")
         .agg(
             F.sum(numeric.fixed_point(F.col("l_extendedprice"), MONEY_SCALE)).alias("units"),
@@ -165,7 +164,7 @@ def line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         per_supplier.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("s_nationkey", "year", "l_returnflag")
         .agg(F.sum(F.col("units").cast("decimal(38,0)")).alias("units"), F.sum("n").alias("n"))
-        .withColumn("member_code", F.lpad(F.col("s_nationkey").cast("string"), 2, "0"))
+        .withColumn("member_code", text.padded(F.col("s_nationkey")))
         .drop("s_nationkey")
     )
 
@@ -256,21 +255,26 @@ SELF_NAMES = {SINGLE_HEADER: "NATION_22"}
 def sheet_values(map_df: DataFrame, members: DataFrame, published: DataFrame) -> DataFrame:
     """The value cells of sheets of four years each: total, headers and members.
 
-    Row and column numbers follow from the codes, so nothing is numbered over
-    the whole table. A header with a single member has no member row.
+    The labels, one for each header and member, are numbered without gaps: the
+    total, then the headers of the layout in its order and any others by name,
+    each above its members. A header with a single member has no member row.
     """
-    first = LAYOUT.first_data_row
-    order = F.coalesce(F.array_position(F.array(*[F.lit(h) for h in HEADERS]), F.col("group_header")), F.lit(0))
+    known = F.array_position(F.array(*[F.lit(h) for h in HEADERS]), F.col("group_header"))
+    order = F.when(F.col("group_header") == TOTAL_HEADER, 0).when(known > 0, known).otherwise(len(HEADERS) + 1)
+    labels = map_df.filter(~F.col("is_single_member_group")).select("group_header", "member_label", "member_code")
+    headers = published.select("group_header").distinct().select("group_header", F.lit(None).cast("string").alias("member_label"), F.lit(None).cast("string").alias("member_code"))
+    place = F.row_number().over(Window.orderBy(order, "group_header", F.col("member_code").asc_nulls_first()))
+    rows = headers.unionAll(labels).select("group_header", "member_label", (LAYOUT.first_data_row - 1 + place).cast("bigint").alias("row"))
+    rows = stage(rows, "sheet-rows")
     year, quarter = F.col("year"), F.col("quarter")
     col = LAYOUT.label_col + 1 + ((year - 1995) % 4) * 4 + quarter - 1
-    child_row = (first + 1000 * order + 1 + F.col("member_code").cast("int")).cast("bigint")
     children = (
         members.filter(~F.col("is_single_member_group"))
-        .join(map_df.select("member_label", "member_code"), "member_label")
-        .select(child_row.alias("row"), F.col("member_label").alias("label"), "year", "quarter", "value", "value_flag")
+        .join(rows, "member_label")
+        .select("row", F.col("member_label").alias("label"), "year", "quarter", "value", "value_flag")
     )
-    heads = published.select(
-        (first + 1000 * order).cast("bigint").alias("row"),
+    heads = published.join(rows.filter("member_label is null").drop("member_label"), "group_header").select(
+        "row",
         F.col("group_header").alias("label"),
         "year",
         "quarter",
@@ -287,7 +291,7 @@ def sheet_values(map_df: DataFrame, members: DataFrame, published: DataFrame) ->
 
 def sheet_cells(values: DataFrame) -> DataFrame:
     """The value cells with labels and headings, a footnote and a stray row below it."""
-    first = LAYOUT.first_data_row
+    end = values.groupBy("sheet").agg(F.max("row").alias("last"))
 
     def cell(df: DataFrame, row: Column, column: Column, txt: Column) -> DataFrame:
         return df.select(
@@ -298,7 +302,7 @@ def sheet_cells(values: DataFrame) -> DataFrame:
     labels = values.select("sheet", "row", "label").distinct()
     heading = values.select("sheet", "col", "year", "quarter").distinct()
     sheets = values.select("sheet").distinct()
-    last_row, last_col = F.lit(first + 1000 * (len(HEADERS) + 2)), F.lit(LAYOUT.label_col + 17)
+    last_row, last_col = F.col("last") + 2, F.lit(LAYOUT.label_col + 17)
     at = F.lit(LAYOUT.label_col)
     parts = [
         values.select("sheet", "row", "col", "num", "txt"),
@@ -310,8 +314,9 @@ def sheet_cells(values: DataFrame) -> DataFrame:
         ),
         cell(heading, F.lit(LAYOUT.quarter_row), F.col("col"), F.concat(F.col("quarter").cast("string"), F.lit("º "))),
         cell(sheets, F.lit(LAYOUT.quarter_row), last_col, F.lit("Trimestral")),
-        cell(sheets, last_row, at, F.lit("n.r: el dato no es representativo")),
-        cell(sheets, last_row + 1, at, F.lit("below the block")),
+        cell(end, last_row - 1, at, F.lit("")),
+        cell(end, last_row, at, F.lit("n.r: el dato no es representativo")),
+        cell(end, last_row + 1, at, F.lit("below the block")),
     ]
     cells = parts[0]
     for part in parts[1:]:

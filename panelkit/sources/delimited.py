@@ -19,13 +19,19 @@ def read_delimited(
     columns: Sequence[str] | None = None,
     sep: str = "\t",
     missing: Sequence[str] = (),
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read text files with a header row; a byte-order mark is ignored.
 
     With ``columns`` the header of every file must be exactly that list, checked
     by each task on the file it reads. ``missing`` lists texts to read as NULL.
+    A row with another number of fields stops the read. A quoted field may hold
+    line breaks; a file is then one task's, which ``multi_line=False`` avoids
+    for large files known to have none.
     """
     reader = spark.read.option("sep", sep).option("header", True).option("escape", '"')
+    # all fields are parsed, so that surplus and missing ones are noticed
+    reader = reader.option("mode", "FAILFAST").option("columnPruning", False).option("multiLine", multi_line)
     if columns is not None:
         schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
         reader = reader.schema(schema).option("enforceSchema", False)

@@ -7,12 +7,13 @@ with, and survives the loss of executors.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -26,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="panelkit-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
@@ -55,6 +56,24 @@ def stage_counted(df: DataFrame, name: str) -> Counted:
 
 
 def together(*jobs: Callable[[], DataFrame]) -> list[DataFrame]:
-    """Run independent jobs at the same time, so that one fills the gaps of another."""
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        return [done.result() for done in [pool.submit(job) for job in jobs]]
+    """Run independent jobs at the same time, so that one fills the gaps of another.
+
+    The threads keep the job group and the scheduler pool of the caller.
+    """
+    results: list = [None] * len(jobs)
+    errors: list[BaseException] = []
+
+    def run(k: int) -> None:
+        try:
+            results[k] = jobs[k]()
+        except BaseException as error:  # noqa: BLE001  raised again below
+            errors.append(error)
+
+    threads = [InheritableThread(target=run, args=(k,), session=SparkSession.getActiveSession()) for k in range(len(jobs))]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    if errors:
+        raise errors[0]
+    return results

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelkit.sources.delimited import read_delimited
+
 
 class SchemaError(ValueError):
     """The data does not fit the declared schema."""
@@ -64,14 +66,13 @@ def reconcile_row_count(spark: SparkSession, table: str, expected: int) -> int:
 
 
 def load_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A static dimension from CSV with its declared types (codes stay text)."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .csv(path)
-    )
+    """A static dimension from CSV with its declared types (codes stay text).
+
+    A value of another type, a row of another length, and a NULL in a required
+    column stop the job.
+    """
+    texts = read_delimited(spark, path, schema.names, sep=",")
+    return conform(texts, schema)
 
 
 def source(spark: SparkSession, namespace: str, table: str) -> DataFrame:

@@ -107,3 +107,17 @@ def test_row_checks_share_one_pass(spark, tmp_path):
     df = spark.read.parquet(f"{tmp_path}/t")
     run = checks.Suite().rows(df, {f"c{i}": F.col("id") > i for i in range(20)}).run()
     assert run._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_reverse_coverage_counts_distinct_periods(spark):
+    data = spark.createDataFrame(
+        [("a", 2000, None), ("a", None, 2000), ("a", 2001, 1), ("b", 2001, 1), ("b", 2001, 1), ("b", 2000, None)], "k string, y int, q int"
+    )
+    parents = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    found = {r.k: r.n_periods for r in checks.reverse_coverage(parents, data, "k", ["y", "q"]).collect()}
+    assert found == {"b": 2, "c": 0}
+
+
+def test_a_null_is_outside_every_domain(spark):
+    df = spark.createDataFrame([("F",), (None,)], "s string")
+    assert [tuple(r) for r in checks.accepted_domain(df, "s", ["F"]).collect()] == [(None, True, False)]

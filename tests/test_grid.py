@@ -158,3 +158,30 @@ def test_labels_may_be_numbers(spark):
     df = spark.createDataFrame([("A", 14, 1, None, "North"), ("A", 15, 1, 7.0, None)], SCHEMA)
     got = grid.classify_rows(df, HEADERS, {}, LAYOUT).filter(F.col("kind") == "child").first()
     assert (got.label, got.header) == ("7.0", "North")
+
+
+def test_an_absent_label_ends_the_block(spark):
+    body = [*BODY[:4], ("", [])]
+    sheet = [c for c in cells(body=body) if c[1] != 14 + 4]
+    sheet += [("A", 14 + 5, 1, None, "Source: office"), ("A", 14 + 5, 2, 5.0, None)]
+    result = parse(spark, sheet)
+    assert {r.member_label for r in result.members.collect()} == {"n1", "n2"}
+
+
+def test_absent_cells_hold_no_data(spark):
+    whole = parse(spark, cells())
+    sparse = parse(spark, [c for c in cells() if c[4] != ""])
+    for name in ("members", "published"):
+        assert sorted(getattr(whole, name).collect(), key=str) == sorted(getattr(sparse, name).collect(), key=str)
+
+
+def test_an_alias_listed_twice(spark):
+    labels = spark.createDataFrame([("a",), ("b",)], "label string")
+    twice = spark.createDataFrame([("a", "x"), ("a", "y")], "variant string, canonical string")
+    with pytest.raises(Exception, match="alias listed twice"):
+        grid.apply_aliases(labels, "label", twice).collect()
+
+
+def test_trees_with_missing_members(spark):
+    tree = spark.createDataFrame([(s, "h", p, None) for s in ("A", "B") for p in (1, 2)], "sheet string, header string, position int, member string")
+    assert all(r.same_tree for r in grid.tree_consistency(tree).collect())

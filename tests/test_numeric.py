@@ -43,5 +43,18 @@ def test_growth_of_zero_and_missing_base(rows):
 def test_mean_ignores_order_and_nulls(rows):
     df = rows("x double", (0.1,), (0.2,), (0.6,), (None,))
     assert df.agg(numeric.mean(X, 1)).first()[0] == 0.9 / 3
-    assert df.agg(numeric.mean(X, None)).first()[0] == pytest.approx(0.3)
+    assert df.agg(numeric.mean(X)).first()[0] == 0.9 / 3
+    assert df.filter("x is null").agg(numeric.mean(X)).first()[0] is None
+
+
+def test_mean_keeps_small_and_large_values(rows):
+    assert rows("x double", (0.00004,), (0.00004,)).agg(numeric.mean(X)).first()[0] == 0.00004
+    assert rows("x double", (2e15,)).agg(numeric.mean(X)).first()[0] == 2e15
+    assert rows("x double", (1e19,), (-1e19,), (0.3,)).agg(numeric.mean(X)).first()[0] == 0.3 / 3
+    with pytest.raises(Exception, match="(?i)overflow|out_of_range"):
+        rows("x double", (1e25,)).agg(numeric.mean(X)).first()
+
+
+def test_mean_of_rounded_values(rows):
+    df = rows("x double", (0.1,), (0.2,), (0.6,), (None,))
     assert df.filter("x is null").agg(numeric.mean(X, 1)).first()[0] is None

@@ -121,3 +121,30 @@ def test_staging(spark, rows):
     assert staging.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", staging.shared_dir(spark)).rstrip("/")
     first, second = staging.together(lambda: staging.stage(df, "x"), lambda: df.filter(F.col("a") > 1))
     assert (first.count(), second.count()) == (2, 1)
+
+
+def test_ragged_rows_stop_the_read(spark, tmp_path):
+    for k, bad in enumerate(("a\tb\tsurplus", "alone")):
+        path = tmp_path / f"{k}.csv"
+        path.write_text(f"x\ty\n1\t2\n{bad}\n", encoding="utf-8")
+        with pytest.raises(Exception, match="(?i)malformed"):
+            delimited.read_delimited(spark, str(path), ["x", "y"]).collect()
+        with pytest.raises(Exception, match="(?i)malformed"):
+            delimited.read_delimited(spark, str(path), ["x", "y"]).select("x").collect()
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('x\ty\n"one\ntwo"\t2\n', encoding="utf-8")
+    assert [tuple(r) for r in delimited.read_delimited(spark, str(path), ["x", "y"]).collect()] == [("one\ntwo", "2")]
+
+
+def test_seeds_are_strict(spark, tmp_path):
+    schema = T.StructType([T.StructField("code", T.StringType(), False), T.StructField("flag", T.BooleanType())])
+    path = tmp_path / "a.csv"
+    path.write_text("code,flag\n01,true\n02,\n", encoding="utf-8")
+    assert [tuple(r) for r in tables.load_seed(spark, str(path), schema).collect()] == [("01", True), ("02", None)]
+    for bad in ("01,maybe", ",true", "01,true,3"):
+        path.write_text(f"code,flag\n{bad}\n", encoding="utf-8")
+        with pytest.raises(Exception, match="(?i)invalid|required|malformed"):
+            tables.load_seed(spark, str(path), schema).collect()

@@ -69,3 +69,14 @@ def test_decode_has_no_else(evaluate):
 def test_quarter_start(rows):
     got = rows("y bigint, q bigint", (2020, 1), (2020, 4)).select(text.quarter_start(F.col("y"), F.col("q"))).collect()
     assert [str(r[0]) for r in got] == ["2020-01-01", "2020-10-01"]
+
+
+@pytest.mark.parametrize("written", ["12d", "1f", "1,5D", "0x10", "1_000", "1,2,3", "NaN", "Infinity", "--1", ","])
+def test_no_number(evaluate, written):
+    assert evaluate([written], "string", text.locale_number(F.col("x"), strict=False)) == [None]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        evaluate([written], "string", text.locale_number(F.col("x")))
+
+
+def test_padding_never_shortens(evaluate):
+    assert evaluate([1, 10, 100, None], "int", text.padded(F.col("x"))) == ["01", "10", "100", None]
