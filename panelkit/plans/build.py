@@ -92,16 +92,22 @@ def raw_inputs(spark: SparkSession, mapping: DataFrame, cfg: PanelConfig, layers
 def build_marts(
     inputs: marts.PanelInputs, cfg: PanelConfig, first_year: int, n_entities: int, layers: Layers = Layers()
 ) -> marts.Models:
-    """Check the inputs, build the models, check them and store the marts."""
+    """Check the inputs, build the models, check them and publish the marts.
+
+    Each mart is written once, under a name of its own, and gets its final name
+    when all checks have passed.
+    """
     checks.require(marts.input_suite(inputs).run())
-    models = marts.build_models(inputs, cfg)
-    checks.require(marts.model_suite(models, cfg, first_year, n_entities).run())
+    spark = inputs.mapping.sparkSession
+    tables.create_namespace(spark, layers.marts, "Marts")
 
-    tables.create_namespace(models.trend.sparkSession, layers.marts, "Marts")
-    for name, mart in (
-        ("mart_trend_group", models.trend),
-        ("mart_growth_summary", models.summary),
-        ("mart_trend_member", models.member_trend),
-    ):
-        tables.materialise_table(mart, f"{layers.marts}.{name}")
-    return models
+    def store(df: DataFrame, name: str) -> DataFrame:
+        return tables.materialise_table(df, f"{layers.marts}.unchecked_{name}")
+
+    models = marts.build_models(inputs, cfg, store, store)
+    checks.require(marts.model_suite(models, cfg, first_year, n_entities).run())
+    published = [
+        tables.publish(spark, f"{layers.marts}.unchecked_{name}", f"{layers.marts}.{name}")
+        for name in ("mart_trend_group", "mart_growth_summary", "mart_trend_member")
+    ]
+    return marts.Models(inputs, models.annual, models.groups, *published)

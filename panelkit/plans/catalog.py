@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions import numeric, text
 from panelkit.operators import checks, grid, growth, ordered, panel, profiling
-from panelkit.plans import index_file, marts, trade
+from panelkit.plans import build, index_file, marts, trade
 from panelkit.plans.trade import CONFIG
 from panelkit.sources import tables
 from panelkit.sources.staging import shared_dir, stage
@@ -624,6 +625,55 @@ def written_index(t: Trade) -> str:
     return path
 
 
+def written_seed(t: Trade) -> str:
+    path = f"{shared_dir(t.spark)}/seed-file-{uuid.uuid4().hex}"
+    t.mapping.select(*marts.MAPPING_SCHEMA.names).write.csv(path, header=True)
+    return path
+
+
+@query
+def load_seed_mapping(t: Trade) -> DataFrame:
+    return tables.load_seed(t.spark, written_seed(t), marts.MAPPING_SCHEMA)
+
+
+@query
+def grid_sparse(t: Trade) -> DataFrame:
+    """The sheets without their blank cells."""
+    filled = stage(t.cells.filter("num is not null or txt <> ''"), "sparse-cells")
+    return grid.parse_grid(filled, trade.HEADERS, trade.SELF_NAMES, layout=trade.LAYOUT).members
+
+
+@query
+def index_suite(t: Trade) -> DataFrame:
+    """The checks of the index file on a faulty one: a geography less, an unknown type, a missing metric, rows twice."""
+    parsed = index_file.parse_index(index_file.read_index(t.spark, written_index(t))).filter("group_code <> '07'")
+    kind = F.when(F.col("index_type") == "New dwelling", "Flat").otherwise(F.col("index_type"))
+    metric = F.when(F.col("year") != 1997, F.col("metric_type"))
+    faulty = stage(parsed.withColumn("index_type", kind).withColumn("metric_type", metric), "faulty-index")
+    twice = faulty.unionAll(faulty.filter("year = 1999"))
+    n_geographies = 9
+    return index_file.index_checks(twice, n_geographies).run().select("check", "failing_rows")
+
+
+SHEETS = build.GridSource(trade.HEADERS, trade.SELF_NAMES, layout=trade.LAYOUT)
+
+
+@query
+def pipeline_marts(t: Trade) -> DataFrame:
+    """From written files to checked raw tables to checked marts; the growth summary is read back by name."""
+    own = uuid.uuid4().hex
+    layers = build.Layers(f"raw_{own}", f"marts_{own}")
+    for name in (layers.raw, layers.marts):
+        tables.create_namespace(t.spark, name, location=f"{shared_dir(t.spark)}/{name}")
+    mapping = stage(tables.load_seed(t.spark, written_seed(t), marts.MAPPING_SCHEMA), "seed")
+    reference = mapping.selectExpr("group_header as header", "member_label as member")
+    source = replace(SHEETS, n_sheets=t.cells.select("sheet").distinct().count())
+    build.load_raw(t.spark, written_index(t), t.cells, source, 9, reference, layers)
+    inputs = build.raw_inputs(t.spark, mapping, CONFIG, layers)
+    build.build_marts(inputs, CONFIG, CONFIG.base_year, 9, layers)
+    return t.spark.table(f"{layers.marts}.mart_growth_summary")
+
+
 @query
 def read_index_file(t: Trade) -> DataFrame:
     return index_file.parse_index(index_file.read_index(t.spark, written_index(t)))

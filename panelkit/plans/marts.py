@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -118,17 +119,23 @@ def trend_model(inputs: PanelInputs, groups: DataFrame, cfg: PanelConfig) -> Dat
     return panel.trend_by_group(wide, groups, inputs.mapping, cfg.base_year, cfg.national_code)
 
 
-def build_models(inputs: PanelInputs, cfg: PanelConfig) -> Models:
+def build_models(
+    inputs: PanelInputs,
+    cfg: PanelConfig,
+    store: Callable[[DataFrame, str], DataFrame] = stage,
+    store_last: Callable[[DataFrame, str], DataFrame] = lambda df, _: df,
+) -> Models:
     """All models in dependency order.
 
-    The tables that several later models or checks read are stored once; the
-    last mart stays a lazy frame.
+    What several later models or checks read is stored once: the marts by
+    ``store``, the last of them, which no model reads, by ``store_last``.
     """
     annual = stage(annual_model(inputs, cfg), "annual")
     groups = stage(group_model(annual, inputs.mapping, cfg), "groups")
-    trend = stage(trend_model(inputs, groups, cfg), "trend")
-    summary = stage(growth.growth_summary(annual, trend, inputs.mapping, cfg), "summary")
-    member_trend = growth.trend_by_member(inputs.members, annual, summary, inputs.mapping, cfg)
+    trend = store(trend_model(inputs, groups, cfg), "mart_trend_group")
+    summary = store(growth.growth_summary(annual, trend, inputs.mapping, cfg), "mart_growth_summary")
+    detail = growth.trend_by_member(inputs.members, annual, summary, inputs.mapping, cfg)
+    member_trend = store_last(detail, "mart_trend_member")
     return Models(inputs, annual, groups, trend, summary, member_trend)
 
 

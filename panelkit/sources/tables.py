@@ -86,6 +86,13 @@ def materialise_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def publish(spark: SparkSession, checked: str, name: str) -> DataFrame:
+    """Give a stored table its final name, in place of the one before."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {checked} RENAME TO {name}")
+    return spark.table(name)
+
+
 def materialise_table(df: DataFrame, name: str) -> DataFrame:
     """Rebuilt as a stored table."""
     df.write.mode("overwrite").saveAsTable(name)
