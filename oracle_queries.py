@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # the code points that Python's str.isspace accepts
 WHITESPACE = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
@@ -371,8 +373,28 @@ GRID_MEMBERS = (
 )
 
 
-def _suite() -> str:
-    """Every check of the suite as one row with the number of failing rows."""
+cte(
+    "faulty_members",
+    """select m.* replace (case when member_label = 'NATION_3' and year = 1997 then null else member_label end as member_label,
+       case when quarter = 4 then 'odd' else value_flag end as value_flag)
+from members m, unnest(case when year = 1996 and quarter = 1 then [1, 2] else [1] end)""",
+    "members",
+)
+cte(
+    "faulty_mapping",
+    """select * replace (case when member_label = 'NATION_6' then '07' else member_code end as member_code)
+from mapping where member_label <> 'NATION_5'""",
+    "mapping",
+)
+cte(
+    "faulty_index",
+    "select * replace (case when index_type <> 'new' then index_type end as index_type) from index_long",
+    "index_long",
+)
+
+
+def _suite(faulty: bool = False) -> str:
+    """Every check of the suite, or those of the inputs on faulty ones, with the number of failing rows."""
     tables = {
         "index": "index_long", "members": "members", "published": "published", "annual": "annual", "groups": "groups_",
         "trend": "trend", "member_trend": "member_trend", "summary": "summary", "mapping": "mapping",
@@ -434,7 +456,8 @@ def _suite() -> str:
         )
     failing["mapping covered"] = (
         "select m.member_label from mapping m left join members q on q.member_label = m.member_label group by 1"
-        " having count(q.member_label) <> (select count(distinct (year, quarter)) from members)"
+        " having count(distinct case when q.member_label is not null then (q.year, q.quarter) end)"
+        " <> (select count(distinct (year, quarter)) from members)"
     )
     failing["hierarchy agrees"] = (
         "select distinct q.member_label, q.group_header, q.is_single_member_group from members q join mapping m"
@@ -450,10 +473,15 @@ def _suite() -> str:
         "select year from trend where year between 1996 and 2000 group by 1"
         " having count(*) <> 9 or count(index_general) <> 9 or count(value) <> 9"
     )
-    parts = [
-        f"""select '{name}' as "check", count(*) as failing_rows from ({body})""" for name, body in failing.items()
-    ]
-    return sql("\nunion all ".join(parts), *tables.values())
+    needs = list(tables.values())
+    shown = ""
+    if faulty:
+        inputs = {"members": "faulty_members", "mapping": "faulty_mapping", "index_long": "faulty_index", "published": "published"}
+        failing = {n: b for n, b in failing.items() if not re.search(r"\b(annual|groups_|trend|member_trend|summary)\b", b)}
+        failing = {n: re.sub(r"\b(members|mapping|index_long)\b", lambda m: inputs[m[0]], b) for n, b in failing.items()}
+        needs, shown = list(inputs.values()), ", count(*) > 0 as has_sample"
+    parts = [f"""select '{name}' as "check", count(*) as failing_rows{shown} from ({body})""" for name, body in failing.items()]
+    return sql("\nunion all ".join(parts), *needs)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -712,6 +740,16 @@ where coalesce(abs(w.index_general - e.expected_value) > 0.001, false)
         "select count(distinct conv_id) as n_sheets from conversations having count(distinct conv_id) <> 8"
     )
     out["dq_suite"] = _suite()
+    out["dq_suite_faulty"] = _suite(faulty=True)
+    names = ("same tree on every sheet", "groups with a single member", "member grain", "published grain", "members x periods")
+    out["grid_suite"] = sql(
+        """select 'sheet count' as "check", case when count(distinct source_sheet) <> 8 then 1 else 0 end as failing_rows from members
+union all select 'layout', count(distinct source_sheet) from members
+union all select 'reference tree', count(*) from mapping where member_label = 'NATION_3'
+"""
+        + "".join(f"union all select '{name}', 0\n" for name in names),
+        "members", "mapping",
+    )
     out["load_seed_mapping"] = sql("select * from mapping", "mapping")
     out["grid_sparse"] = sql(GRID_MEMBERS, "members")
     out["pipeline_marts"] = sql("select * from summary", "summary")

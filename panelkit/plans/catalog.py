@@ -586,6 +586,22 @@ def dq_suite(t: Trade) -> DataFrame:
     return suite.run().select("check", "failing_rows")
 
 
+@query
+def dq_suite_faulty(t: Trade) -> DataFrame:
+    """The input checks on faulty inputs, with what each names as a sample."""
+    inputs = t.inputs
+    label = F.when((F.col("member_label") == "NATION_3") & (F.col("year") == 1997), None).otherwise(F.col("member_label"))
+    flag = F.when(F.col("quarter") == 4, "odd").otherwise(F.col("value_flag"))
+    members = inputs.members.withColumn("member_label", label).withColumn("value_flag", flag)
+    members = stage(members.unionAll(members.filter("year = 1996 and quarter = 1")), "faulty-members")
+    places = inputs.mapping.filter("member_label <> 'NATION_5'")
+    places = places.withColumn("member_code", F.when(F.col("member_label") == "NATION_6", "07").otherwise(F.col("member_code")))
+    index = inputs.index_long.withColumn("index_type", F.when(F.col("index_type") != "new", F.col("index_type")))
+    faulty = replace(inputs, members=members, mapping=stage(places, "faulty-mapping"), index_long=index)
+    found = stage(marts.input_suite(faulty).run(), "faulty-suite")
+    return found.select("check", "failing_rows", F.col("sample").isNotNull().alias("has_sample"))
+
+
 # -- sources and sinks ----------------------------------------------------------
 
 
@@ -658,6 +674,17 @@ def index_suite(t: Trade) -> DataFrame:
 SHEETS = build.GridSource(trade.HEADERS, trade.SELF_NAMES, layout=trade.LAYOUT)
 
 
+@query
+def grid_suite(t: Trade) -> DataFrame:
+    """The checks of sheets with an unknown text in each, held against a reference that lacks a member."""
+    value_cell = (F.col("col") == trade.LAYOUT.label_col + 1) & (F.col("row") == trade.LAYOUT.first_data_row)
+    faulty = t.cells.withColumn("num", F.when(~value_cell, F.col("num"))).withColumn("txt", F.when(value_cell, "??").otherwise(F.col("txt")))
+    faulty = stage(faulty, "faulty-cells")
+    result = grid.parse_grid(faulty, trade.HEADERS, trade.SELF_NAMES, layout=trade.LAYOUT)
+    reference = t.mapping.filter("member_label <> 'NATION_3'").selectExpr("group_header as header", "member_label as member")
+    return build.grid_suite(faulty, result, SHEETS, reference).run().select("check", "failing_rows")
+
+
 @query
 def pipeline_marts(t: Trade) -> DataFrame:
     """From written files to checked raw tables to checked marts; the growth summary is read back by name."""
