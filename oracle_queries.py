@@ -672,6 +672,7 @@ from events"""
         " from (select distinct source_sheet, year from members) group by 1",
         "members",
     )
+    out["profile_unique"] = "select count(distinct lang) as n_lang, count(distinct source) as n_source from documents"
     out["profile_geographies"] = sql("select distinct group_code, group_name from index_long order by 1, 2", "index_long")
 
     # data quality

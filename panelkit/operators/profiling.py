@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -37,5 +37,6 @@ def distinct_periods(df: DataFrame, keys: Sequence[str], period: str) -> DataFra
     return df.groupBy(*keys).agg(F.array_sort(F.collect_set(period)).alias("periods"))
 
 
-def n_unique(column: str) -> Column:
-    return F.countDistinct(column)
+def n_unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """How many values each column has, NULL aside, as one row."""
+    return df.agg(*[F.countDistinct(c).alias(f"n_{c}") for c in columns])

@@ -72,7 +72,7 @@ class Trade:
 
     @cached_property
     def groups(self) -> DataFrame:
-        return marts.group_model(self.annual, self.mapping, CONFIG)
+        return marts.group_model(stage(self.annual, "annual"), stage(self.mapping, "mapping"), CONFIG)
 
     @cached_property
     def trend(self) -> DataFrame:
@@ -312,14 +312,14 @@ def fill_header(t: Trade) -> DataFrame:
 
 @query
 def self_children(t: Trade) -> DataFrame:
-    rows = header_turns(t).filter(F.col("header_turn").isNotNull())
+    rows = stage(header_turns(t), "tree").filter(F.col("header_turn").isNotNull())
     alone = grid.childless_headers(rows.filter(IS_HEADER), rows.filter(f"not {IS_HEADER}"), ["conv_id", "header_turn"])
     return alone.select("conv_id", "header_turn", F.lit("self").alias("member"))
 
 
 @query
 def number_members(t: Trade) -> DataFrame:
-    children = header_turns(t).filter(f"not ({IS_HEADER}) and header_turn is not null")
+    children = stage(header_turns(t), "tree").filter(f"not ({IS_HEADER}) and header_turn is not null")
     return ordered.number_in_group(children, ["conv_id", "header_turn"], "turn", "position")
 
 
@@ -484,6 +484,11 @@ def profile_periods(t: Trade) -> DataFrame:
     return years.select("source_sheet", F.array_join(F.transform("periods", lambda y: y.cast("string")), ",").alias("years"))
 
 
+@query
+def profile_unique(t: Trade) -> DataFrame:
+    return profiling.n_unique(t.table("documents"), ["lang", "source"])
+
+
 @query
 def profile_geographies(t: Trade) -> DataFrame:
     return profiling.distinct_sorted(t.index_long, ["group_code", "group_name"])
@@ -619,7 +624,7 @@ def _replaced(t: Trade, name: str) -> str:
 @query
 def load_and_reconcile(t: Trade) -> DataFrame:
     """Load the member panel as a table, twice, and read it back by name."""
-    raw = trade.member_quarter(t.mapping, t.order_totals).withColumn("not_declared", F.lit(0))
+    raw = stage(trade.member_quarter(t.mapping, t.order_totals), "members").withColumn("not_declared", F.lit(0))
     name = _replaced(t, "member_quarter")
     tables.load_table(raw, name, marts.MEMBER_SCHEMA)
     tables.load_table(raw, name, marts.MEMBER_SCHEMA)

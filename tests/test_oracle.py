@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the same Parquet tables."""
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
 import __spark_entry__ as entry
 import harness
@@ -18,9 +19,23 @@ def duck():
     return harness.duck(SF_DIR)
 
 
+@pytest.fixture
+def staged_plans(monkeypatch):
+    """The plans of all frames that a query stores before it returns."""
+    seen, write = [], DataFrameWriter.parquet
+
+    def noted(self, path, *args, **options):
+        seen.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    return seen
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
-def test_query_equals_sql(spark, duck, name):
+def test_query_equals_sql(spark, duck, name, staged_plans):
     df = QUERIES[name](spark, SF_DIR)
+    assert not [operator for operator in UNWANTED if any(operator in plan for plan in staged_plans)]
     ours = harness.spark_rows(df)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [operator for operator in UNWANTED if operator in plan]
