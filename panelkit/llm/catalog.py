@@ -22,5 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_source_mixing": mixing.ORACLE_SQL,
+    "op6_signature_trees": signature_trees.ORACLE_SQL,
+    "op7_substring_dedup": substring.ORACLE_SQL,
     "op10_reply_trees": reply_trees.ORACLE_SQL,
 }

@@ -322,3 +322,26 @@ def representatives(docs: DataFrame, how: Shingles = Shingles()) -> DataFrame:
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(common.table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[pos:pos + 3], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, least(len(words), 1) + 1))) AS pos FROM texts)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (
+  SELECT a, b FROM both_ways UNION SELECT r.doc_id, w.b FROM reached r JOIN both_ways w ON w.a = r.other),
+named AS (SELECT doc_id, min(other) AS other FROM reached GROUP BY doc_id)
+SELECT t.doc_id, coalesce(s.n, 0) AS n_shingles, least(t.doc_id, coalesce(m.other, t.doc_id)) AS component_id
+FROM texts t LEFT JOIN sizes s USING (doc_id) LEFT JOIN named m USING (doc_id)
+"""

@@ -211,3 +211,21 @@ def _own_texts(joined: DataFrame, runs: Runs) -> DataFrame:
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(common.table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+placed AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS pos FROM texts),
+runs AS (
+  SELECT doc_id, words[pos] AS word, pos,
+    CASE WHEN pos + 49 <= len(words) THEN md5(array_to_string(words[pos:pos + 49], ' ')) END AS run FROM placed),
+earlier AS (SELECT run, min(doc_id) AS least FROM runs WHERE run IS NOT NULL GROUP BY run),
+marked AS (SELECT r.*, coalesce(e.least < r.doc_id, false) AS gone FROM runs r LEFT JOIN earlier e USING (run)),
+covered AS (
+  SELECT *, max(gone) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS covered FROM marked),
+kept AS (
+  SELECT doc_id, count(*) FILTER (covered) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT covered) AS rest
+  FROM covered GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(t.words) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.rest, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k USING (doc_id)
+"""
