@@ -175,18 +175,21 @@ def dealt(rows: DataFrame, wide: int, rblocks: np.ndarray, pblocks: np.ndarray)
     return rows.mapInArrow(deal, DEALT)
 
 
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """The smallest number each of ``n`` nodes can reach over links (a, b)."""
-    label = np.arange(n)
+def hung_together(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels, each the smallest node of its tree, after links (a, b)."""
     while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, label[a], low)
-        np.minimum.at(new, label[b], low)
-        new = new[new]
-        if (new == label).all():
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        if (low == high).all():
             return label
-        label = new
+        np.minimum.at(label, high, low)
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def exact(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Cosines of the vectors as they are."""
+    dot = lambda a, b: np.einsum("ij,ij->i", a, b)
+    return dot(p, q) / (np.sqrt(dot(p, p)) * np.sqrt(dot(q, q)))
 
 
 def linked(how: Links, wide: int, size: int):
@@ -210,33 +213,26 @@ def linked(how: Links, wide: int, size: int):
         order = np.argsort(target, kind="stable")
         visitor, target = visitor[order], target[order]
         by_cell = residents[np.argsort(cell[residents], kind="stable")]
-        hits_a, hits_b = [], []
+        owner = np.repeat(np.arange(len(rep)), offsets[1:] - offsets[:-1])
+        known = np.sort(owner * np.int64(1 << 31) + flat[offsets[0] : offsets[-1]])
+        counts, label = np.zeros(len(rep)), np.arange(len(rep))
         for c in np.unique(target):
             ps = visitor[slice(*np.searchsorted(target, [c, c + 1]))]
             rs = by_cell[slice(*np.searchsorted(cell[by_cell], [c, c + 1]))]
-            for a in range(0, len(ps), 1024):
-                some = ps[a : a + 1024]
+            for at in range(0, len(ps), 256):  # nothing of the size of all links is kept
+                some = ps[at : at + 256]
                 near = x[some] @ x[rs].T
                 i, j = np.nonzero(near >= how.cosine - 1e-12)
-                i, j = some[i], rs[j]
-                if len(i):
-                    p, q = original[i], original[j]
-                    exact = np.einsum("ij,ij->i", p, q) / (np.sqrt(np.einsum("ij,ij->i", p, p)) * np.sqrt(np.einsum("ij,ij->i", q, q)))
-                    exact = np.where(np.isfinite(exact), exact, np.einsum("ij,ij->i", x[i], x[j]))
-                    good = (exact >= how.cosine) & (rep[i] != rep[j])
-                    hits_a.append(i[good])
-                    hits_b.append(j[good])
-        a, b = (np.concatenate(h) if h else np.zeros(0, np.int64) for h in (hits_a, hits_b))
-        # the resident counts the link as well, unless it will find it on its own visit
-        back = np.zeros(len(a), dtype=bool)
-        if len(a):
-            owner = np.repeat(np.arange(len(rep)), offsets[1:] - offsets[:-1])
-            pairs = np.sort(owner * np.int64(1 << 31) + flat[offsets[0] : offsets[-1]])
-            wanted = b * np.int64(1 << 31) + cell[a]
-            at = np.minimum(np.searchsorted(pairs, wanted), len(pairs) - 1)
-            back = pairs[at] == wanted
-        counts = np.bincount(a, weights=copies[b], minlength=len(rep)) + np.bincount(b[~back], weights=copies[a[~back]], minlength=len(rep))
-        label = _forest(a, b, len(rep))
+                close = np.flatnonzero(np.abs(near[i, j] - how.cosine) < 1e-9)
+                good = rep[some[i]] != rep[rs[j]]
+                good[close] &= exact(original[some[i[close]]], original[rs[j[close]]]) >= how.cosine
+                a, b = some[i[good]], rs[j[good]]
+                if len(a):
+                    # the resident counts the link as well, unless it will find it on its own visit
+                    wanted = b * np.int64(1 << 31) + cell[a]
+                    back = known[np.minimum(np.searchsorted(known, wanted), len(known) - 1)] == wanted
+                    counts += np.bincount(a, weights=copies[b], minlength=len(rep)) + np.bincount(b[~back], weights=copies[a[~back]], minlength=len(rep))
+                    label = hung_together(label, a, b)
         some, moved = np.flatnonzero(counts), np.flatnonzero(label != np.arange(len(rep)))
         nothing = pa.nulls(len(some), pa.int64())
         return pa.table(
