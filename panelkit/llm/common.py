@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from panelkit.sources.staging import shared_dir
 
 #: Text handled at once inside a task; a single longer text makes a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: What separates words: the blank and the code points 9 to 13. Every other character belongs to a word.
 WORD = r"[^\x20\x09-\x0D]+"
 
