@@ -126,6 +126,22 @@ def second_scan(docs: DataFrame, wanted: DataFrame, how: Shingles) -> DataFrame:
     return rows.select("doc", "a", "b", "text").mapInArrow(scan, SETS)
 
 
+def plausible(pairs: DataFrame, sets: DataFrame, how: Shingles) -> DataFrame:
+    """The pairs (x, y) that sizes and signatures cannot rule out; whole sets are sent for these alone."""
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            none = np.zeros(batch.num_rows, np.int64)
+            p, q = (Level.leaves(_words(batch.column(f"bits_{s}")), batch.column(f"n_{s}").to_numpy(), none + k) for k, s in enumerate("xy"))
+            at = np.arange(batch.num_rows)
+            yield batch.select(["x", "y"]).filter(pa.array(may_link(p, q, at, at, how.percent)))
+
+    own = sets.select("doc", "n", "bits")
+    for side in "xy":
+        pairs = pairs.join(own.select(F.col("doc").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+    return pairs.mapInArrow(prune, "x long, y long").distinct()
+
+
 def compared(pairs: DataFrame, sets: DataFrame, how: Shingles) -> DataFrame:
     """The pairs (x, y) that link, by their whole sets."""
 
@@ -284,15 +300,16 @@ def join(docs: DataFrame, how: Shingles = Shingles()) -> DataFrame:
     sets = stage(second_scan(docs, wanted, how), "shingle-whole")
     pairs = posts.filter("doc != pivot").groupBy("doc", "pivot").agg(F.sum("times").alias("times"))
     nearest = pairs.groupBy("doc").agg(F.max(F.struct("times", -F.col("pivot"), "pivot")).alias("best")).select(F.col("best.pivot").alias("x"), F.col("doc").alias("y"))
-    edges = stage(compared(nearest, sets, how), "shingle-links")
+    nearest = stage(nearest, "shingle-nearest")
+    edges = stage(compared(plausible(nearest, sets, how), sets, how), "shingle-links")
     # the other pivots of documents that are still apart from them
-    posts = stage(with_component(posts, edges, "doc", "component"), "shingle-trees")
-    apart = with_component(posts.filter("doc != pivot").select("doc", "pivot", "component").distinct(), edges, "pivot", "of_pivot").filter("component != of_pivot")
+    names = stage(smallest_reachable(edges), "shingle-names")
+    apart = posts.filter("doc != pivot").select("doc", "pivot").distinct()
+    apart = named(named(apart, names, "doc", "component"), names, "pivot", "of_pivot").filter("component != of_pivot")
     again = apart.select(F.col("pivot").alias("x"), F.col("doc").alias("y")).join(nearest, ["x", "y"], "left_anti")
-    edges = stage(edges.unionAll(compared(again, sets, how)), "shingle-links")
+    edges = stage(edges.unionAll(compared(plausible(again, sets, how), sets, how)), "shingle-links")
 
-    posts = with_component(posts.select("key", "doc"), edges, "doc", "component")
-    posts = stage(posts, "shingle-trees")
+    posts = stage(named(posts.select("key", "doc"), smallest_reachable(edges), "doc", "component"), "shingle-trees")
     mixed = posts.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
     trees = posts.join(mixed, "key", "left_semi").join(sets.select("doc", "n", "bits"), "doc")
     left = compared(tree_pairs(trees, how), sets, how)
@@ -303,10 +320,10 @@ def join(docs: DataFrame, how: Shingles = Shingles()) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("doc").isNotNull(), known).alias("component_id"))
 
 
-def with_component(rows: DataFrame, edges: DataFrame, column: str, name: str) -> DataFrame:
-    """The component that links so far give to the documents of a column."""
-    names = smallest_reachable(edges).select(F.col("node").alias(column), F.col("component").alias(name))
-    return rows.drop(name).join(names, column, "left").withColumn(name, F.coalesce(name, column))
+def named(rows: DataFrame, names: DataFrame, column: str, name: str) -> DataFrame:
+    """The component of the documents of a column, by the links so far."""
+    names = names.select(F.col("node").alias(column), F.col("component").alias(name))
+    return rows.join(names, column, "left").withColumn(name, F.coalesce(name, column))
 
 
 def representatives(docs: DataFrame, how: Shingles = Shingles()) -> DataFrame:
