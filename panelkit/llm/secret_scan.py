@@ -146,8 +146,9 @@ def _battery(x: Column, mean: Column, a: int, code: Encoding) -> Column:
 
 
 def grid_step(p: Column) -> Column:
-    """The step of a p-value, which stands for the largest p of that step."""
-    return F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-30))) * STEPS), F.lit(LAST_STEP)).cast("int")
+    """The step of a p-value, which stands for the largest p of that step; null without one, which ``greatest`` would skip."""
+    step = F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-30))) * STEPS), F.lit(LAST_STEP)).cast("int")
+    return F.when(p.isNotNull(), step)
 
 
 def scanned(docs: DataFrame) -> DataFrame:

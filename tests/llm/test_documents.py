@@ -223,6 +223,21 @@ def test_random_strings_are_found_and_words_are_not(documents):
     assert not flagged
 
 
+#: No encoding holds '/' or '+' together with '-' or '_'.
+MIXED = ["docs/how-to-write/my_file", "/usr/share/some-package/read_me", "https//host/a-page_of/words", "+----------+----------+", "+__________/----------+", "a/b-c_d+e/f-g_h+i/j-k_l"]
+
+
+def test_strings_of_no_encoding_are_not_findings(documents):
+    secret = random_strings()
+    rows = [(k, f"key {s} end", "a") for k, s in enumerate(secret)] + [(1000 + k, f"see {s} there", "a") for k, s in enumerate(MIXED * 4)]
+    docs = documents(*rows)
+    found = {r["doc_id"]: r["spans"] for r in secret_scan.scan(docs).collect()}
+    assert [s for k, s in enumerate(MIXED * 4) if found[1000 + k]] == []
+    assert sum(found[k] != "" for k in range(len(secret))) >= 0.9 * len(secret)
+    kept = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
+    assert [s for k, s in enumerate(MIXED * 4) if kept[1000 + k] != f"see {s} there"] == []
+
+
 def test_redacted_texts_keep_the_rest(documents):
     rows = [*hard_texts(), *((30 + k, t, "s") for k, t in enumerate(SECRETS))]
     docs = documents(*rows)
