@@ -1,15 +1,23 @@
 """Secrets in texts: fixed patterns, and strings that a battery of randomness tests tells from language.
 
 Candidates are long strings of encoded characters. For each, the smallest alphabet that holds it is taken as its
-encoding, and three tests ask how far its symbols are from independent uniform draws:
+encoding. The null hypothesis is that the string is *not* random: that it is language (words, identifiers, paths, numbers,
+in any case and order) or goes through the alphabet in small steps. Its p-value is the ratio of its probability under the
+null to that of independent uniform draws from the alphabet. The mean of the inverse under the null is 1, so by Markov's
+inequality no table of critical values is needed at any length: each symbol adds its share, and 20 symbols are enough.
+The null takes the larger of two models: pairs of neighbouring symbols as in text (``PAIRS``) with the changes between
+cases, and steps of at most one place in the alphabet.
+
+Three tests then ask whether the symbols are independent uniform draws at all:
 
 * chi-squared: counts of the symbols against equal counts;
 * runs: changes between the lower and the upper half of the alphabet;
 * serial correlation of neighbouring symbols.
 
-The null hypothesis is that the string is *not* random: that it departs, in each test, at least as far as words and
-identifiers do (``Encoding`` has the least departure). A test rejects if the departure seen is too small for that, which
-short strings can hardly reach, since their statistics scatter. The p-value of a candidate is the largest of the three.
+A string that departs in one of them, beyond chance and at least as far as ``Encoding`` says, has p = 1: repeats, UUIDs,
+tables. On short strings the three alone cannot tell language from randomness, since halves of an alphabet alternate in
+words as they do in random strings.
+
 Over all candidates of the corpus, in strata of length, the step-up procedure of Benjamini and Hochberg keeps the
 expected share of false findings below ``rate``; p-values are rounded up to a grid, which can only make it stricter, so
 that the corpus sends a histogram of fixed size instead of a sorted list.
@@ -23,6 +31,7 @@ one by one; an empty table gives no rows; other columns are ignored by ``scan``
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log2
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,7 +54,7 @@ UPPER = LOWER.upper()
 
 @dataclass(frozen=True)
 class Encoding:
-    """An alphabet and the least departure of language in it: excess of chi-squared per symbol, and of both other tests."""
+    """An alphabet and the least departure that counts in it: excess of chi-squared per symbol, and of both other tests."""
 
     name: str
     alphabet: str
@@ -67,6 +76,46 @@ ENCODINGS = (
     Encoding("base64", UPPER + LOWER + DIGITS + "+/", 1.2),
     Encoding("base64url", UPPER + LOWER + DIGITS + "-_", 1.2),
 )
+#: How far beyond chance, in standard deviations, a test must depart: chi-squared (whose tail is long), runs, correlation.
+BEYOND = (6.0, 4.5, 4.0)
+
+#: Letters, a digit and a separator; without case there are 28 kinds.
+CLASSES = LOWER + UPPER + "0-"
+#: Sevenths of a bit, from code 35 on, that a kind (column) costs after a kind (row). Counted in identifiers and words of
+#: Python's library and in prose, with an addend for pairs not seen, for words that are joined, and for digits anywhere.
+PAIRS = (
+    r"GGABFQJOCZP?D8KHY>>6CMPRT[C?"
+    r"<JDK9LNMBHQ4KL@HQGEFAQOPGQC?"
+    r"=OJL=OQ5BWACMO6MUFI<ITSURXC?"
+    r"?HIG3KPH:UTDNG:MUFBACRLRQUC?"
+    r">OD?CMQOD^ZFJ9JJT77?OQPHVVC?"
+    r">IGG>>KK7POBLK;KP@E@CONOLPC?"
+    r">IHL2LIB@QODKCDKQB?AGMMOQNC?"
+    r"5ILQ2RQEAXSHPE=NWED>MRLUWTC?"
+    r"GK@H>MHRNZWDG1:IWH@:UNUQ[NC?"
+    r":GEF=GGFDHFFGFCDHFDC@HHHHHC?"
+    r"CIFG2HHH@KKDIFGGKFACHKEKJKC?"
+    r">OKH1OSQ:WV=PO=MWOGBHTTU<WC?"
+    r"8GLK2NPO>SQIGL=;SMEEFQPRMSC?"
+    r"?KD;:L:IC[RJPG@MWJA6KNOXZYC?"
+    r"IKDBJIMSHXRHD2HFY7CC;QKS[ZC?"
+    r"8NIK9EOKCTR?OM?DR<F=HQPR>TC?"
+    r"EHGHEHHHGJIGHGGGIFFC0IHIJJC?"
+    r"<LIK1PJK>ZQJJG=MYB@>KPOWMWC?"
+    r"EPBP9RQ=@WRKNNFHUM@/EVRVN[C?"
+    r"@OJP3PV67^YLPMBM[ADBMWRXLPC?"
+    r"DDGK8KKLEVT>C9FCS@A<PQQBVSC?"
+    r":JIK0KLK;MMKJJGJNJHEKMKMLLC?"
+    r">KHIAKL2:NNIJEBKO@DELMLLOOC?"
+    r"@E;E=DLIALLHFIE@KGG:KKKGFLC?"
+    r"DFDI=JLFCNNEE@B<NG>:HLFKLLC?"
+    r"BGEG8HGHAJIFFHEGIGEC:IHGIHC?"
+    r"RUSVPU_[Ydc[]ZYYd[WQ]b_Ted%:"
+    r"@HAF<HLGC[VGGDBDWD@9HRLN_[8<"
+)
+#: Bits for the case of a letter after a lower and after an upper one: same, other. Share of steps in the model of steps.
+AFTER_LOWER, AFTER_UPPER, STEADY = (-log2(0.9), -log2(0.1)), (-log2(0.6), -log2(0.4)), 0.8
+
 #: Lower ends of the strata of length; the grid of p-values has so many steps for each power of ten.
 STRATA, STEPS, LAST_STEP = (20, 32, 48, 96), 20, 400
 
@@ -90,57 +139,81 @@ def located(text: Column, pattern: str, found: Column) -> Column:
     return F.when(F.size(found) > 0, F.aggregate(zipped, begin, step)["spans"]).otherwise(begin["spans"])
 
 
-def normal(z: Column) -> Column:
-    """The normal distribution function, to about 1e-4."""
-    return 1 / (1 + F.exp(F.greatest(F.lit(-80.0), F.least(F.lit(80.0), -(1.5976 * z + 0.07056 * z * z * z)))))
+def language_bits(token: Column) -> Column:
+    """Minus the binary logarithm of the probability of a string as language, in one fold over its symbols."""
+    plain = F.translate(F.rtrim(token, F.lit("=")), DIGITS[1:] + "+/_", "0" * 9 + "---")
+    classes = F.transform(F.split(plain, ""), lambda c: F.call_function("instr", F.lit(CLASSES), c) - 1)
+    kind = lambda y: F.when(y < 26, y).otherwise(y - 26)
+
+    def step(t: Column, y: Column) -> Column:
+        last = t["last"]
+        pair = (F.ascii(F.substring(F.lit(PAIRS), kind(last) * 28 + kind(y) + 1, F.lit(1))) - 35) / 7
+        lower = y < 26
+        which = (
+            F.when(y == 52, log2(10))
+            .when(y == 53, 2.0)
+            .when(last < 26, F.when(lower, AFTER_LOWER[0]).otherwise(AFTER_LOWER[1]))
+            .when(last < 52, F.when(lower, AFTER_UPPER[1]).otherwise(AFTER_UPPER[0]))
+            .otherwise(1.0)
+        )
+        return F.struct(y.alias("last"), (t["bits"] + pair + which).alias("bits"))
+
+    # a string begins as after a separator
+    return F.aggregate(classes, F.struct(F.lit(53).alias("last"), F.lit(0.0).alias("bits")), step, lambda t: t["bits"])
 
 
-def p_value(token: Column, code: Encoding) -> Column:
-    """The largest p-value of the three tests, each of departing as far as language does, in one fold over the symbols."""
+def p_value(token: Column, code: Encoding, language: Column) -> Column:
+    """The p-value of not being random, from the bits as language; 1 where one of the three tests sees another structure."""
     a = len(code.alphabet)
     alphabet = F.lit(code.alphabet)
     symbols = F.transform(F.split(F.rtrim(token, F.lit("=")), ""), lambda c: F.call_function("instr", alphabet, c).cast("double") - 1)
     # bound to a variable, so that each is computed once
     mean = lambda x: F.aggregate(x, F.lit(0.0), lambda t, y: t + y) / F.size(x)
-    return _let(symbols, lambda x: _let(mean(x), lambda m: _battery(x, m, a, code)))
+    return _let(symbols, lambda x: _let(mean(x), lambda m: _battery(x, m, a, code, language)))
 
 
 def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _battery(x: Column, mean: Column, a: int, code: Encoding) -> Column:
+def _battery(x: Column, mean: Column, a: int, code: Encoding, language: Column) -> Column:
     n = F.size(x).cast("double")
     ranks = F.sequence(F.lit(0), F.lit(a - 1))
     squares = F.aggregate(
         F.transform(ranks, lambda s: F.size(F.filter(x, lambda y: y == s)).cast("double")), F.lit(0.0), lambda t, c: t + c * c
     )
-    chi, df = squares * a / n - n, float(a - 1)
-    away = n * code.uniformity
-    p_chi = normal((chi - df - away) / F.sqrt(2 * (df + 2 * away)))
+    excess = squares * a / n - n - (a - 1)
 
-    start = F.struct(F.lit(-1.0).alias("last"), F.lit(0.0).alias("runs"), F.lit(0.0).alias("upper"), F.lit(0.0).alias("cross"), F.lit(0.0).alias("square"))
+    zero = F.lit(0.0)
+    start = F.struct(F.lit(-1.0).alias("last"), *[zero.alias(c) for c in ("runs", "upper", "cross", "square", "steps")])
     half = (a - 1) / 2
 
     def step(t: Column, y: Column) -> Column:
-        fresh = (t["last"] < 0) | ((t["last"] > half) != (y > half))
+        first = t["last"] < 0
+        fresh = first | ((t["last"] > half) != (y > half))
         d = y - mean
         return F.struct(
             y.alias("last"),
             (t["runs"] + fresh.cast("double")).alias("runs"),
             (t["upper"] + (y > half).cast("double")).alias("upper"),
-            (t["cross"] + F.when(t["last"] < 0, 0.0).otherwise((t["last"] - mean) * d)).alias("cross"),
+            (t["cross"] + F.when(first, 0.0).otherwise((t["last"] - mean) * d)).alias("cross"),
             (t["square"] + d * d).alias("square"),
+            (t["steps"] + (~first & (F.abs(y - t["last"]) <= 1)).cast("double")).alias("steps"),
         )
 
     def judge(t: Column) -> Column:
         upper, lower = t["upper"], n - t["upper"]
         both = 2 * upper * lower
-        deviation = F.sqrt(F.greatest(both * (both - n), F.lit(0.0)) / (n * n * (n - 1)))
-        # a string that keeps to one half departs as far as can be
-        p_runs = F.when(deviation > 0, normal(F.abs(t["runs"] - both / n - 1) / deviation - code.order * F.sqrt(n))).otherwise(1.0)
-        p_serial = F.when(t["square"] > 0, normal((F.abs(t["cross"]) / t["square"] - code.order) * F.sqrt(n))).otherwise(1.0)
-        return F.greatest(p_chi, p_runs, p_serial)
+        deviation = F.sqrt(F.greatest(both * (both - n), zero) / (n * n * (n - 1)))
+        runs, serial = F.abs(t["runs"] - both / n - 1) / deviation, F.abs(t["cross"]) / t["square"] * F.sqrt(n)
+        far = code.order * F.sqrt(n)
+        departs = (excess > BEYOND[0] * (2 * (a - 1)) ** 0.5) & (excess > code.uniformity * n)
+        # a string that keeps to one half, or to one symbol, departs as far as can be
+        departs = departs | F.when(deviation > 0, (runs > BEYOND[1]) & (runs > far)).otherwise(True)
+        departs = departs | F.when(t["square"] > 0, (serial > BEYOND[2]) & (serial > far)).otherwise(True)
+        steady = log2(a) - t["steps"] * log2(STEADY / 3) - (n - 1 - t["steps"]) * log2((1 - STEADY) / (a - 3))
+        ratio = F.pow(F.lit(2.0), F.least(n * log2(a) - F.least(language, steady), zero))
+        return F.when(departs, 1.0).otherwise(ratio)
 
     return F.aggregate(x, start, step, judge)
 
@@ -179,9 +252,14 @@ def _base(order: int, kind: str, pattern: str, group: int, least: int) -> Column
 
 def _candidate(m: Column) -> Column:
     token = m["match"]
-    p = F.lit(None).cast("double")
-    for code in reversed(ENCODINGS):
-        p = F.when(token.rlike(code.pattern), p_value(token, code)).otherwise(p)
+
+    def p_of(language: Column) -> Column:
+        p = F.lit(None).cast("double")
+        for code in reversed(ENCODINGS):
+            p = F.when(token.rlike(code.pattern), p_value(token, code, language)).otherwise(p)
+        return p
+
+    p = _let(language_bits(token), p_of)
     bare = F.length(F.rtrim(token, F.lit("=")))
     stratum = F.lit(STRATA[0])
     for low in STRATA[1:]:

@@ -238,6 +238,35 @@ def test_strings_of_no_encoding_are_not_findings(documents):
     assert [s for k, s in enumerate(MIXED * 4) if kept[1000 + k] != f"see {s} there"] == []
 
 
+PARTS = "get set read write parse file name path user account request handler table column index buffer stream value order customer price total weather mountain bridge winter kitchen library station garden history quickly between thought children government important language".split()
+
+
+def identifiers(n, size, rng):
+    """Words joined as identifiers and paths, of the size at least."""
+    out = []
+    for _ in range(n):
+        words, glue = [], rng.choice(["camel", "_", "-", "/"])
+        while len("_".join(words)) < size + 12:
+            words.append(PARTS[rng.integers(len(PARTS))])
+        out.append("".join(w.capitalize() for w in words) if glue == "camel" else glue.join(words))
+    return [s[: size + int(rng.integers(0, 8))] for s in out]
+
+
+@pytest.mark.parametrize(("size", "least"), [(20, 0.85), (32, 0.95), (40, 0.95)])
+def test_rare_secrets_of_usual_length_are_found(documents, size, least):
+    rng = np.random.default_rng(size)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    secret = ["".join(alphabet[k] for k in rng.integers(0, 62, size)) for _ in range(30)]
+    clean = identifiers(2970, size, rng)
+    rows = [(k, f"key {s} end", "a") for k, s in enumerate(secret)]
+    rows += [(1000 + k, " ".join(clean[k * 10 : k * 10 + 10]), "a") for k in range(297)]
+    found = {r["doc_id"]: r["spans"] for r in secret_scan.scan(documents(*rows)).collect()}
+    hits = sum(found[k] == f"random:4:{4 + size}" for k in range(len(secret)))
+    false = sum(found[1000 + k].count("random") for k in range(297))
+    assert hits >= least * len(secret)
+    assert false <= 0.05 * (hits + false)
+
+
 def test_redacted_texts_keep_the_rest(documents):
     rows = [*hard_texts(), *((30 + k, t, "s") for k, t in enumerate(SECRETS))]
     docs = documents(*rows)
