@@ -112,3 +112,21 @@ def test_few_candidates(table):
     ]
     assert nn_descent.search(table([]), F.col("vec_id") % 100 == 0).count() == 0
     assert nn_descent.search(table([(0, [1.0])]), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def near_copies(n, size=64, seed=6):
+    """Different vectors at a cosine of 0.9999 to one centre, closer than the step of their bytes."""
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=size)
+    step = rng.normal(size=(n, size)) * np.linalg.norm(centre) / np.sqrt(size) * 0.01414
+    return [(i, r.tolist()) for i, r in enumerate((centre + step).astype(np.float32))]
+
+
+def test_neighbours_in_a_group_of_near_copies(table):
+    rows = near_copies(400)
+    good = usable(rows, 64)
+    found = {}
+    for r in nn_descent.search(table(rows), F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = [len(found[i] & {j for j, _ in truth}) / 10 for i, truth in brute_neighbours(good, lambda i: i % 20 == 0, 10)]
+    assert np.mean(hits) >= 0.95
