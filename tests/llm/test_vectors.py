@@ -130,3 +130,20 @@ def test_neighbours_in_a_group_of_near_copies(table):
         found.setdefault(r["query_id"], set()).add(r["vec_id"])
     hits = [len(found[i] & {j for j, _ in truth}) / 10 for i, truth in brute_neighbours(good, lambda i: i % 20 == 0, 10)]
     assert np.mean(hits) >= 0.95
+
+
+def test_recall_is_measured_by_the_true_neighbours(spark):
+    """The query itself and nodes that are as near as the true ones by bytes are no hits."""
+    truth = {1: list(range(10, 20)), 2: list(range(20, 30))}
+    rows = [(1, [1, *range(10, 19)], [0.0] * 10), (2, [2, 50, *range(20, 29)], [0.0] * 11)]
+    state = spark.createDataFrame(rows, "q long, seen array<long>, dists array<float>")
+    enough = lambda share: nn_descent.measured(truth, 1000, nn_descent.Descent(recall=share))(state, 64)
+    assert enough(0.9) and not enough(0.91)
+
+
+def test_true_neighbours_of_a_sample(spark):
+    rows = near_copies(50, 8) + [(100, [9.0] * 8), (101, [9.0] * 7 + [10.0]), (102, [10.0] + [9.0] * 7)]
+    distinct = spark.createDataFrame(rows, "node long, embedding array<float>").repartition(3)
+    found = nn_descent.exact_top(distinct, [(0, rows[0][1]), (100, rows[50][1])], 8, 2)
+    assert sorted(found[0]) == sorted(j for j, _ in next(brute_neighbours(usable(rows, 8), lambda i: i == 0, 2))[1])
+    assert sorted(found[100]) == [101, 102]
