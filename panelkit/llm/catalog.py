@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelkit.llm import inverted_index, merkle, mixing, nn_descent, pieces, quality, reply_trees, secret_scan, signature_trees, substring, token_frames
+from panelkit.llm import contamination, inverted_index, merkle, mixing, nn_descent, pieces, quality, reply_trees, secret_scan, signature_trees, spelling, substring, token_frames
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_frames": token_frames.op1,
@@ -20,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece_scan": pieces.op9,
     "op10_reply_trees": reply_trees.op10,
     "op11_merkle_witnesses": merkle.op11,
+    "op12_suffix_automaton": contamination.op12,
+    "op13_spelling_trees": spelling.op13,
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_source_mixing": mixing.ORACLE_SQL,
@@ -27,4 +29,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_substring_dedup": substring.ORACLE_SQL,
     "op10_reply_trees": reply_trees.ORACLE_SQL,
     "op11_merkle_witnesses": merkle.ORACLE_SQL,
+    "op12_suffix_automaton": contamination.ORACLE_SQL,
+    "op13_spelling_trees": spelling.ORACLE_SQL,
 }

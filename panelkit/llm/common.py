@@ -92,15 +92,15 @@ class Words:
 
     A word is a longest run of bytes other than 0x20 and 0x09 to 0x0D, which in UTF-8 is the same as the run of code
     points. Hashes are polynomials modulo 2**64 of scrambled bytes and of the length, scrambled once more; ``seed``
-    picks one of two independent functions.
+    picks one of two independent functions. ``solid`` names by value the bytes that belong to words, if others do.
     """
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, solid: np.ndarray | None = None):
         raw, self.text_at = text_bytes(texts)
         if lower:
             raw = raw + ((raw >= 65) & (raw <= 90)) * np.uint8(32)
         self.raw = raw
-        solid = ~((raw == 0x20) | ((raw >= 0x09) & (raw <= 0x0D)))
+        solid = ~((raw == 0x20) | ((raw >= 0x09) & (raw <= 0x0D))) if solid is None else solid[raw]
         first = solid.copy()
         first[1:] &= ~solid[:-1]
         inner = self.text_at[1:-1]
