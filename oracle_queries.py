@@ -765,9 +765,61 @@ union all select 'grain', count(*) from (
         "index_raw",
     )
     out["read_index_file"] = sql(RAW_INDEX, "index_raw")
+    out["read_quoted_file"] = "select cast(doc_id as varchar) as doc_id, lang, source, text from documents"
+    out["publish_snapshot"] = sql(
+        """select p.group_header, p.year, p.quarter, p.value, any_value(n) as n_values from published p
+left join (select group_header, year, quarter, count(value) as n from members group by all) m using (group_header, year, quarter)
+where p.year >= 1996 group by all""",
+        "published", "members",
+    )
+    out["reconcile_content"] = sql(
+        """, swapped as (select * replace (case when year = 1997 and quarter = 1 and member_label = 'NATION_3' then 'NATION_4'
+  when year = 1997 and quarter = 1 and member_label = 'NATION_4' then 'NATION_3' else member_label end as member_label) from members)
+select (select count(*) from members) as n_sent, (select count(*) from swapped) as n_loaded, true as same_count
+where exists (select * from members except all select * from swapped)""",
+        "members",
+    )
+    out["profile_period_runs"] = sql(
+        """select c_custkey, min(year) as first_period, max(year) as last_period, count(*) as n_periods
+from (select *, year - row_number() over (partition by c_custkey order by year) as run from active) group by c_custkey, run""",
+        "active",
+    )
+    out["dq_unique_keys"] = """
+select 'line' as "check", count(*) as failing_rows from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)
+union all select 'order', count(*) from (select 1 from lineitem where l_orderkey is not null group by l_orderkey having count(*) > 1)
+union all select 'part and supplier', count(*) from (select 1 from lineitem group by l_suppkey, l_partkey having count(*) > 1)
+union all select 'order and part', count(*) from (select 1 from lineitem group by l_orderkey, l_partkey having count(*) > 1)"""
+    out["exact_mean"] = EXACT_MEAN
     return out
 
 
+# whole parts of values by powers of 2**60, added as big integers; the digits of the sum from the highest on give the double
+EXACT_MEAN = """
+with spread as (
+  select event_type, case event_id % 4 when 0 then value * 1e25 when 1 then value * -1e25 when 2 then value * 1e-25 else value end as v from events),
+placed as (select *, greatest(cast(floor(log2(nullif(abs(v), 0)) / 60) as integer), -6) as k from spread where v is not null),
+cut as (select event_type, v, coalesce(k, 0) as k, abs(v) / pow(2.0, 60 * coalesce(k, 0)) as x from placed),
+parts as (
+  select event_type, k, sign(v) * floor(x) as part from cut
+  union all select event_type, k - 1, sign(v) * (x - floor(x)) * pow(2.0, 60) from cut),
+bins as (select event_type, k, sum(cast(part as hugeint)) as s from parts group by all),
+filled as (
+  select t.event_type, list(coalesce(b.s, 0::hugeint) order by k.k) as sums
+  from (select distinct event_type from spread) t cross join range(-8, 5) k(k) left join bins b on b.event_type = t.event_type and b.k = k.k group by 1),
+carried as (
+  select event_type, sign, list_reduce(list_concat([{'c': 0::hugeint, 'd': []::hugeint[]}], list_transform(sums, lambda s: {'c': sign * s, 'd': []::hugeint[]})),
+    lambda a, b: {'c': (b.c + a.c - ((b.c + a.c) % w + w) % w) // w, 'd': list_append(a.d, ((b.c + a.c) % w + w) % w)}) as r
+  from filled, (select 1152921504606846976::hugeint as w), (values (1), (-1)) signs(sign)),
+signed as (select event_type, sign, r.d as d, list_position(list_transform(list_reverse(r.d), lambda x: x > 0), true) as from_top from carried where r.c = 0),
+topped as (select event_type, sign, d, len(d) + 1 - from_top as top from signed),
+sums as (
+  select event_type, case when top is null then 0.0 else sign * pow(2.0, 60 * (top - 1 - 9) - 1)
+    * cast(cast(2 * (d[top] * 1152921504606846976::hugeint + d[top - 1])
+      + case when list_sum(list_transform(d[1:top - 2], lambda x: cast(x > 0 as integer))) > 0 then 1 else 0 end as varchar) as double) end as total
+  from topped)
+select event_type, count(v) as n, any_value(total) / count(v) as mean from spread join sums using (event_type) group by event_type"""
+
+
 cte(
     "first_tree",
     "select * from header_turns where conv_id = (select min(conv_id) from conversations)",

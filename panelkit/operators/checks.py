@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.operators.ordered import number_distinct
+from panelkit.operators.profiling import period_sets, set_size
 from panelkit.sources.staging import stage
 
 TOLERANCE = 0.001
@@ -90,20 +92,37 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
     return held.join(keys, column, "left_anti")
 
 
+def held_periods(data: DataFrame, keys: Sequence[str], periods: Sequence[str]) -> DataFrame:
+    """The periods of each key as sets, stored, with n_rows and whether one of them is NULL (has_null).
+
+    A single whole number is its own place; other periods are numbered in their order, NULL in them being a value.
+    """
+    name = periods[0]
+    if len(periods) == 1 and data.schema[name].dataType.typeName() in ("byte", "short", "integer", "long"):
+        placed, place = data, F.col(name).cast("bigint")
+    else:
+        twin = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in periods])
+        numbers = number_distinct(data, periods, "__place").select(*[F.col(p).alias(f"__{p}") for p in periods], "__place")
+        placed, place = data.select(*keys, *periods).join(numbers, twin), F.col("__place")
+    also = [F.count(F.lit(1)).alias("n_rows"), F.max(place.isNull().cast("int")).alias("has_null")]
+    return stage(period_sets(placed, keys, place, also), "periods-held")
+
+
 def reverse_coverage(parent: DataFrame, data: DataFrame, key: str, periods: Sequence[str]) -> DataFrame:
     """Parents without data for every period that occurs anywhere.
 
-    Each period counts once, however many rows it has; a NULL in it is a value
-    like any other. The distinct periods of the keys are stored, since both the
-    keys and the whole are counted from them; a parent without any keeps a zero.
+    Each period counts once, however many rows it has; a NULL in it is a value like any other. The keys and the whole
+    are counted from the same stored sets of periods; a parent without any keeps a zero.
     """
-    known = stage(data.select(key, F.struct(*periods).alias("__period")).distinct(), "periods-held")
-    held = known.groupBy(key).agg(F.count(F.lit(1)).alias("n_periods"))
-    expected = known.select("__period").distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
+    known = held_periods(data, [key], periods)
+    n_null = F.max("has_null")
+    held = known.groupBy(key).agg((set_size() + n_null).alias("n_periods"))
+    by_word = known.groupBy("word").agg(F.bit_or("bits").alias("bits"), n_null.alias("has_null"))
+    expected = by_word.agg((set_size() + F.coalesce(n_null, F.lit(0))).alias("n")).scalar()
     return (
         parent.select(key)
         .join(held, key, "left")
-        .select(key, F.coalesce("n_periods", F.lit(0)).alias("n_periods"))
+        .select(key, F.coalesce("n_periods", F.lit(0).cast("bigint")).alias("n_periods"))
         .filter(F.col("n_periods") != expected)
     )
 
@@ -160,12 +179,10 @@ def anchor_values(df: DataFrame, expected: DataFrame, keys: Sequence[str], value
 
 
 def complete_grid(df: DataFrame, member: str, periods: Sequence[str]) -> DataFrame:
-    """One row when the table is not members x periods, else none."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.countDistinct(member).alias("n_members"),
-        F.countDistinct(*periods).alias("n_periods"),
-    )
+    """One row when the table is not members x periods, else none; NULL is neither a member nor a period."""
+    held = held_periods(df.dropna(subset=list(periods)), [], periods)
+    counts = df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(member).alias("n_members"))
+    counts = counts.withColumn("n_periods", held.agg(set_size().alias("n")).scalar())
     return counts.filter(F.col("n_rows") != F.col("n_members") * F.col("n_periods"))
 
 
@@ -189,6 +206,7 @@ class Suite:
     """
 
     row_checks: list[tuple[DataFrame, dict[str, Column]]] = field(default_factory=list)
+    key_checks: list[tuple[DataFrame, dict[str, str | Sequence[str]]]] = field(default_factory=list)
     frame_checks: list[tuple[str, DataFrame]] = field(default_factory=list)
 
     def rows(self, df: DataFrame, checks: dict[str, Column]) -> Suite:
@@ -196,6 +214,11 @@ class Suite:
         self.row_checks.append((df, checks))
         return self
 
+    def keys(self, df: DataFrame, checks: dict[str, str | Sequence[str]]) -> Suite:
+        """Uniqueness of a column (its NULLs ignored) or of a combination of columns; all share one pass over df."""
+        self.key_checks.append((df, checks))
+        return self
+
     def add(self, name: str, failing: DataFrame) -> Suite:
         """A check that compares rows; failing holds its offenders."""
         self.frame_checks.append((name, failing))
@@ -203,10 +226,13 @@ class Suite:
 
     def join(self, other: Suite) -> Suite:
         """The checks of both."""
-        return Suite(self.row_checks + other.row_checks, self.frame_checks + other.frame_checks)
+        return Suite(
+            self.row_checks + other.row_checks, self.key_checks + other.key_checks, self.frame_checks + other.frame_checks
+        )
 
     def run(self) -> DataFrame:
         parts = [_fused(df, checks) for df, checks in self.row_checks]
+        parts += [_fused_keys(df, checks) for df, checks in self.key_checks]
         parts += [_counted(name, failing) for name, failing in self.frame_checks]
         return _union(parts)
 
@@ -219,16 +245,37 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return _union(parts[:half]).union(_union(parts[half:]))
 
 
+def _results(df: DataFrame, failing: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """One aggregation for many checks, each given by the condition of a failing row and the text that shows it."""
+    aggregates, results = [], []
+    for i, (name, (condition, text)) in enumerate(failing.items()):
+        aggregates += [F.count_if(condition).alias(f"n{i}"), F.min(F.when(condition, text)).alias(f"s{i}")]
+        quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+        results.append(f"struct('{quoted}' as check, n{i} as failing_rows, s{i} as sample)")
+    return df.agg(*aggregates).selectExpr(f"inline(array({', '.join(results)}))")
+
+
 def _fused(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
-    names = list(checks)
     whole_row = F.to_json(F.struct(*df.columns))
-    aggregates = []
-    for i, name in enumerate(names):
-        aggregates.append(F.count_if(checks[name]).alias(f"n{i}"))
-        aggregates.append(F.min(F.when(checks[name], whole_row)).alias(f"s{i}"))
-    quoted = [name.replace("\\", "\\\\").replace("'", "\\'") for name in names]
-    results = [f"struct('{name}' as check, n{i} as failing_rows, s{i} as sample)" for i, name in enumerate(quoted)]
-    return df.agg(*aggregates).selectExpr(f"inline(array({', '.join(results)}))")
+    return _results(df, {name: (condition, whole_row) for name, condition in checks.items()})
+
+
+def _fused_keys(df: DataFrame, checks: dict[str, str | Sequence[str]]) -> DataFrame:
+    """Every key is one grouping set: rows are expanded once, counted before the shuffle, and shuffled once."""
+    keys = {name: [key] if isinstance(key, str) else list(key) for name, key in checks.items()}
+    columns = list(dict.fromkeys(c for key in keys.values() for c in key))
+    sets = list(dict.fromkeys(tuple(sorted(key, key=columns.index)) for key in keys.values()))
+    grouped = df.select(*columns).groupingSets([[F.col(c) for c in key] for key in sets], *columns)
+    repeated = grouped.agg(F.grouping_id().alias("__set"), F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+    failing = {}
+    for name, key in keys.items():
+        # the bits of the columns that a set leaves out, the first column highest
+        number = sum(1 << (len(columns) - 1 - k) for k, c in enumerate(columns) if c not in key)
+        condition = F.col("__set") == number
+        if isinstance(checks[name], str):
+            condition = condition & F.col(checks[name]).isNotNull()
+        failing[name] = (condition, F.to_json(F.struct(*key, "n_rows")))
+    return _results(repeated, failing)
 
 
 def _counted(name: str, failing: DataFrame) -> DataFrame:

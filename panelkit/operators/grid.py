@@ -21,6 +21,8 @@ from panelkit.operators.panel import GROUP, MEMBER, NATIONAL
 from panelkit.sources.staging import stage, together
 
 HEADER, CHILD = "header", "child"
+# Rows of a sheet that are dealt together when their cells are looked up.
+LOOKUP_ROWS = 1024
 
 
 def apply_aliases(df: DataFrame, column: str, aliases: DataFrame) -> DataFrame:
@@ -143,8 +145,9 @@ def parse_grid(
     """Sheets to the member panel and the published panel.
 
     Label rows and period columns are settled first, on their own small tables.
-    The cells are then joined to both and decoded in a single pass; the decoded
-    cells are stored, because both panels and the error list read them.
+    The cells then meet both, block of rows by block of rows, and are decoded in
+    a single pass; the decoded cells are stored, because both panels and the
+    error list read them.
     """
     # labels and headings are few; stored, they are read as often as their order asks for
     is_label = (F.col("col") == layout.label_col) & (F.col("row") >= layout.first_data_row)
@@ -163,22 +166,17 @@ def parse_grid(
     targets = published_rows.unionByName(member_rows)
 
     data = cells.filter((F.col("col") > layout.label_col) & (F.col("row") >= layout.first_data_row))
-    values = (
-        # every row in every period, so that an absent cell is one without data
-        targets.join(periods, "sheet")
-        .join(data, ["sheet", "row", "col"], "left")
-        .select(
-            "sheet",
-            "row",
-            "col",
-            "level",
-            "header",
-            "member",
-            "year",
-            "quarter",
-            numeric.round_exact(F.col("num"), 1).alias("value"),
-            text.sentinel_flag(F.col("num"), F.col("txt"), layout.not_representative).alias("value_flag"),
-        )
+    values = cell_values(targets, periods, data).select(
+        "sheet",
+        "row",
+        "col",
+        "level",
+        "header",
+        "member",
+        "year",
+        "quarter",
+        numeric.round_exact(F.col("num"), 1).alias("value"),
+        text.sentinel_flag(F.col("num"), F.col("txt"), layout.not_representative).alias("value_flag"),
     )
     values = stage(values, "grid-values")
     members = values.filter(F.col("level") == MEMBER).select(
@@ -197,6 +195,36 @@ def parse_grid(
     return GridResult(members, published, tree, _grid_errors(rows, periods, tree, values))
 
 
+def cell_values(targets: DataFrame, periods: DataFrame, data: DataFrame, lookup_rows: int = LOOKUP_ROWS) -> DataFrame:
+    """Every target row in every period of its sheet, with its cell or NULL: an absent cell is one without data.
+
+    Rows are dealt by sheet and block of rows, cells and targets together, so they are shuffled once and a sheet of any
+    length spreads evenly. The periods of a sheet, as many as it has columns, are one list that every block gets a copy
+    of; a row looks its cells up in a map of its own. The same cell given twice raises.
+    """
+    target = F.struct(*[c for c in targets.columns if c not in ("sheet", "row")])
+    cell = F.struct("col", F.struct("num", "txt").alias("held"))
+    block = F.floor(F.col("row") / lookup_rows).cast("bigint").alias("block")
+    none = F.lit(None)
+    both = targets.select("sheet", block, "row", target.alias("target"), none.alias("cell")).unionAll(
+        data.select("sheet", block, "row", none.alias("target"), cell.alias("cell"))
+    )
+    rows = (
+        both.repartition("sheet", "block")
+        .groupBy("sheet", "block", "row")
+        .agg(F.collect_list("target").alias("targets"), F.map_from_entries(F.collect_list("cell")).alias("cells"))
+        .filter(F.size("targets") > 0)
+    )
+    calendar = periods.groupBy("sheet").agg(F.collect_list(F.struct("col", "year", "quarter")).alias("periods"))
+    calendars = targets.select("sheet", block).distinct().join(calendar, "sheet")
+    slots = rows.join(calendars, ["sheet", "block"]).select("sheet", "row", "cells", "periods", F.explode("targets").alias("t"))
+    slots = slots.select("sheet", "row", "t.*", "cells", F.explode("periods").alias("p"))
+    found = slots.select("*", F.try_element_at("cells", F.col("p.col")).alias("held"))
+    return found.select(
+        "sheet", "row", *[c for c in targets.columns if c not in ("sheet", "row")], "p.col", "p.year", "p.quarter", "held.num", "held.txt"
+    )
+
+
 def _grid_errors(rows: DataFrame, periods: DataFrame, tree: DataFrame, values: DataFrame) -> DataFrame:
     """Everything that must stop a load: (sheet, error, row, col, detail)."""
 

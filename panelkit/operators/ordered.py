@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.sources.staging import stage
+
 BLOCK_ROWS = 1_000_000
 
 _BLOCK = "__block"
@@ -78,6 +80,21 @@ def number_in_group(
     )
 
 
+def number_distinct(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
+    """The distinct combinations of some columns and the place of each in their order, from 0; NULL comes first.
+
+    They are dealt out by ranges, stored with their range, and each range starts where the counts of those before it end.
+    """
+    ranged = df.select(*columns).distinct().repartitionByRange(*columns).withColumn(_BLOCK, F.spark_partition_id())
+    ranged = stage(ranged, "distinct-ranges")
+    offsets = ranged.groupBy(_BLOCK).agg(F.count(F.lit(1)).alias("n")).select(
+        _BLOCK, F.coalesce(F.sum("n").over(_earlier([])), F.lit(0)).alias(_CARRIED)
+    )
+    inside = Window.partitionBy(_BLOCK).orderBy(*columns)
+    place = F.row_number().over(inside) + F.col(_CARRIED) - 1
+    return ranged.join(offsets, _BLOCK).select(*columns, place.cast("bigint").alias(out))
+
+
 def cut_block(
     df: DataFrame,
     keys: Sequence[str],

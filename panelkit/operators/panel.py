@@ -12,19 +12,47 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions import numeric, text
+from panelkit.operators.ordered import number_distinct
+from panelkit.sources.staging import stage
 
 MEMBER, GROUP, NATIONAL = "member", "group", "national"
 
 
+# Missing periods of a run that are listed together.
+RUN_PERIODS = 4096
+
+
+def missing_runs(members: DataFrame, places: DataFrame, keys: Sequence[str], place: str, n_places: Column) -> DataFrame:
+    """(keys, first, last) of the runs of places that a member lacks between 0 and n_places - 1.
+
+    A run lies between one place that a member has and the next; the ends of the calendar bound the first and the last.
+    """
+    marks = members.select(*keys, F.lit(-1).cast("bigint").alias("__at")).unionAll(places.select(*keys, F.col(place).cast("bigint")))
+    following = F.coalesce(F.lead("__at").over(Window.partitionBy(*keys).orderBy("__at")), n_places)
+    runs = marks.select(*keys, (F.col("__at") + 1).alias("first"), (following - 1).cast("bigint").alias("last"))
+    return runs.filter("first <= last")
+
+
 def dense_grid(members: DataFrame, observed: DataFrame, keys: Sequence[str], periods: Sequence[str]) -> DataFrame:
-    """Every member in every period that occurs anywhere, with the observed columns or NULL.
+    """Every member in every period that occurs anywhere, with the observed columns or NULL; a NULL is no period.
 
-    The distinct periods are one bounded array, handed to each member as a
-    scalar subquery and exploded there; nothing is cross joined.
+    The distinct periods are numbered by ranges. What a member has stays; what it lacks is found as runs between the
+    numbers that it has, and only these are spelt out, so no list of all periods exists anywhere.
     """
-    calendar = observed.agg(F.collect_set(F.struct(*periods)).alias("p")).scalar()
-    slots = members.withColumn("__p", F.explode(calendar)).select("*", *[F.col(f"__p.{p}") for p in periods]).drop("__p")
-    return slots.join(observed, [*keys, *periods], "left")
+    known = observed.dropna(subset=list(periods))
+    calendar = stage(number_distinct(known, periods, "__place"), "calendar")
+    n_places = calendar.agg(F.count(F.lit(1))).scalar()
+    own = known.join(members.select(*keys), list(keys), "left_semi").join(calendar, list(periods))
+    runs = missing_runs(members, own, keys, "__place", n_places)
+    # a long run is cut into pieces, so that no list is long
+    pieces = runs.select(*keys, "last", F.explode(F.sequence("first", "last", F.lit(RUN_PERIODS).cast("bigint"))).alias("first"))
+    upto = F.least(F.col("first") + RUN_PERIODS - 1, F.col("last"))
+    lacking = pieces.select(*keys, F.explode(F.sequence("first", upto)).alias("__place")).join(calendar, "__place")
+    slots = own.drop("__place").unionByName(lacking.drop("__place"), allowMissingColumns=True)
+    others = [c for c in members.columns if c not in keys]
+    return members.join(slots, list(keys)).select(
+        *keys, *periods, *others, *[c for c in observed.columns if c not in (*keys, *periods)]
+    )
 
 
 def flagged_mean(units: Column, count: Column, scale: int, min_obs: int, digits: int = 1) -> tuple[Column, Column]:

@@ -6,17 +6,19 @@ a run can be repeated.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.config import GridLayout, PanelConfig
+from panelkit.config import GridLayout, PanelConfig, layer_name
 from panelkit.operators import checks, grid
 from panelkit.plans import index_file, marts
 from panelkit.sources import tables
-from panelkit.sources.staging import stage
+from panelkit.sources.snapshot import Snapshot
+from panelkit.sources.staging import shared_dir
 
 
 @dataclass(frozen=True)
@@ -36,6 +38,7 @@ class Layers:
 
     raw: str = "raw"
     marts: str = "marts"
+    staging: str = "staging"
 
 
 def grid_suite(cells: DataFrame, result: grid.GridResult, source: GridSource, reference: DataFrame | None) -> checks.Suite:
@@ -67,24 +70,33 @@ def load_raw(
     reference: DataFrame | None = None,
     layers: Layers = Layers(),
 ) -> None:
-    """Parse both sources, check them and replace the raw tables."""
-    index = stage(index_file.parse_index(index_file.read_index(spark, index_path)), "index-parsed")
+    """Parse both sources, check them and replace the raw tables, all three at once."""
+    parsed = index_file.parse_index(index_file.read_index(spark, index_path))
+    path = f"{shared_dir(spark)}/staged/index-parsed-{uuid.uuid4().hex}"
+    tables.write_parquet(parsed, path)
+    index = tables.read_parquet(spark, path, index_file.INDEX_SCHEMA)
     checks.require(index_file.index_checks(index, n_geographies).run())
     result = grid.parse_grid(cells, source.headers, source.self_names, source.aliases, source.layout)
     checks.require(grid_suite(cells, result, source, reference).run())
 
     tables.create_namespace(spark, layers.raw, "Parsed source tables")
-    tables.load_table(index, f"{layers.raw}.index_long", index_file.INDEX_SCHEMA)
-    tables.load_table(result.members, f"{layers.raw}.member_quarter", marts.MEMBER_SCHEMA)
-    tables.load_table(result.published, f"{layers.raw}.published_quarter", marts.PUBLISHED_SCHEMA)
+    snapshot = Snapshot(spark, layers.raw)
+    tables.store_table(snapshot, index, "index_long", index_file.INDEX_SCHEMA)
+    tables.store_table(snapshot, result.members, "member_quarter", marts.MEMBER_SCHEMA)
+    tables.store_table(snapshot, result.published, "published_quarter", marts.PUBLISHED_SCHEMA)
+    snapshot.publish()
 
 
 def raw_inputs(spark: SparkSession, mapping: DataFrame, cfg: PanelConfig, layers: Layers = Layers()) -> marts.PanelInputs:
     """The staged views over the raw tables."""
+
+    def view(df: DataFrame, name: str) -> DataFrame:
+        return tables.materialise_view(df, layer_name(name, layers.staging, "staging").replace(".", "_"))
+
     return marts.PanelInputs(
-        index_long=index_file.stage_index(tables.source(spark, layers.raw, "index_long"), cfg.national_code),
-        members=marts.stage_members(tables.source(spark, layers.raw, "member_quarter")),
-        published=marts.stage_published(tables.source(spark, layers.raw, "published_quarter")),
+        index_long=view(index_file.stage_index(tables.source(spark, layers.raw, "index_long"), cfg.national_code), "index_long"),
+        members=view(marts.stage_members(tables.source(spark, layers.raw, "member_quarter")), "member_quarter"),
+        published=view(marts.stage_published(tables.source(spark, layers.raw, "published_quarter")), "published_quarter"),
         mapping=mapping,
     )
 
@@ -94,20 +106,14 @@ def build_marts(
 ) -> marts.Models:
     """Check the inputs, build the models, check them and publish the marts.
 
-    Each mart is written once, under a name of its own, and gets its final name
-    when all checks have passed.
+    Each mart is written once, as a version of its own, and all of them are published at once when all checks have
+    passed; until then, and after a run that stops anywhere, readers have those of the last run.
     """
     checks.require(marts.input_suite(inputs).run())
     spark = inputs.mapping.sparkSession
     tables.create_namespace(spark, layers.marts, "Marts")
-
-    def store(df: DataFrame, name: str) -> DataFrame:
-        return tables.materialise_table(df, f"{layers.marts}.unchecked_{name}")
-
-    models = marts.build_models(inputs, cfg, store, store)
+    snapshot = Snapshot(spark, layers.marts)
+    models = marts.build_models(inputs, cfg, snapshot.store, snapshot.store)
     checks.require(marts.model_suite(models, cfg, first_year, n_entities).run())
-    published = [
-        tables.publish(spark, f"{layers.marts}.unchecked_{name}", f"{layers.marts}.{name}")
-        for name in ("mart_trend_group", "mart_growth_summary", "mart_trend_member")
-    ]
-    return marts.Models(inputs, models.annual, models.groups, *published)
+    published = snapshot.publish()
+    return marts.Models(inputs, models.annual, models.groups, *[published[name] for name in marts.MARTS])

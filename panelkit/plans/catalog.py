@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.functions import numeric, text
-from panelkit.operators import checks, grid, growth, ordered, panel, profiling
+from panelkit.operators import checks, exact, grid, growth, ordered, panel, profiling
 from panelkit.plans import build, index_file, marts, trade
 from panelkit.plans.trade import CONFIG
 from panelkit.sources import tables
+from panelkit.sources.delimited import read_delimited
+from panelkit.sources.snapshot import Snapshot
 from panelkit.sources.staging import shared_dir, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,6 +221,14 @@ def mart_trend_member(t: Trade) -> DataFrame:
     return t.models.member_trend
 
 
+@query
+def exact_mean(t: Trade) -> DataFrame:
+    """The mean by type of event of values that lie fifty orders of magnitude apart, and partly cancel out."""
+    value, kind = F.col("value"), F.col("event_id") % 4
+    spread = F.when(kind == 0, value * 1e25).when(kind == 1, value * -1e25).when(kind == 2, value * 1e-25).otherwise(value)
+    return exact.exact_mean(t.table("events").select("event_type", spread.alias("spread")), ["event_type"], "spread")
+
+
 # -- growth ---------------------------------------------------------------------
 
 
@@ -484,6 +494,12 @@ def profile_periods(t: Trade) -> DataFrame:
     return years.select("source_sheet", F.array_join(F.transform("periods", lambda y: y.cast("string")), ",").alias("years"))
 
 
+@query
+def profile_period_runs(t: Trade) -> DataFrame:
+    """The runs of years in which each customer ordered."""
+    return profiling.period_runs(active_years(t), ["c_custkey"], "year")
+
+
 @query
 def profile_unique(t: Trade) -> DataFrame:
     return profiling.n_unique(t.table("documents"), ["lang", "source"])
@@ -512,6 +528,18 @@ def dq_unique_combination(t: Trade) -> DataFrame:
     return checks.unique_combination(t.table("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query
+def dq_unique_keys(t: Trade) -> DataFrame:
+    """Four keys of the same table in one pass; only the first is one."""
+    keys = {
+        "line": ["l_orderkey", "l_linenumber"],
+        "order": "l_orderkey",
+        "part and supplier": ["l_suppkey", "l_partkey"],
+        "order and part": ["l_orderkey", "l_partkey"],
+    }
+    return checks.Suite().keys(t.table("lineitem"), keys).run().select("check", "failing_rows")
+
+
 @query
 def dq_accepted_values(t: Trade) -> DataFrame:
     return checks.accepted_values(t.table("orders"), "o_orderpriority", ["1-URGENT", "2-HIGH", "3-MEDIUM"])
@@ -631,6 +659,43 @@ def load_and_reconcile(t: Trade) -> DataFrame:
     return tables.source(t.spark, RAW, "member_quarter")
 
 
+@query
+def reconcile_content(t: Trade) -> DataFrame:
+    """A load that gives two members each other's values in one quarter: as many rows, but not the same."""
+    sent = stage(trade.member_quarter(t.mapping, t.order_totals), "members").select(*marts.MEMBER_SCHEMA.names)
+    label, quarter = F.col("member_label"), (F.col("year") == 1997) & (F.col("quarter") == 1)
+    swapped = F.when(quarter & (label == "NATION_3"), "NATION_4").when(quarter & (label == "NATION_4"), "NATION_3").otherwise(label)
+    return tables.content_check(sent, stage(sent.withColumn("member_label", swapped), "swapped"))
+
+
+@query
+def publish_snapshot(t: Trade) -> DataFrame:
+    """Two versions of two tables are published, a third stops half-way; readers have the second."""
+    own = f"snapshot_{uuid.uuid4().hex}"
+    tables.create_namespace(t.spark, own, location=f"{shared_dir(t.spark)}/{own}")
+    members, published = stage(t.members, "members"), stage(t.published, "published")
+    for first_year in (1992, 1996):
+        snapshot = Snapshot(t.spark, own)
+        snapshot.store(members.filter(F.col("year") >= first_year), "member_quarter")
+        snapshot.store(published.filter(F.col("year") >= first_year), "published_quarter")
+        snapshot.publish()
+    Snapshot(t.spark, own).store(members.limit(0), "member_quarter")
+    held = t.spark.table(f"{own}.member_quarter").select("group_header", "year", "quarter", F.col("value").alias("member_value"))
+    totals = held.groupBy("group_header", "year", "quarter").agg(F.count("member_value").alias("n_values"))
+    return t.spark.table(f"{own}.published_quarter").join(totals, ["group_header", "year", "quarter"], "left").select(
+        "group_header", "year", "quarter", "value", "n_values"
+    )
+
+
+@query
+def read_quoted_file(t: Trade) -> DataFrame:
+    """Documents written as delimited text, with line breaks inside quoted fields, and read back by splits."""
+    path = f"{shared_dir(t.spark)}/quoted-file-{uuid.uuid4().hex}"
+    texts = t.table("documents").select(F.col("doc_id").cast("string").alias("doc_id"), "lang", "source", "text")
+    texts.write.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path, sep="\t", header=True)
+    return read_delimited(t.spark, path, texts.columns)
+
+
 def written_index(t: Trade) -> str:
     """The index table as a delimited file with byte-order mark and decimal comma."""
     raw = trade.index_raw(t.mapping, t.line_totals)
@@ -703,7 +768,7 @@ def pipeline_marts(t: Trade) -> DataFrame:
     build.load_raw(t.spark, written_index(t), t.cells, source, 9, reference, layers)
     inputs = build.raw_inputs(t.spark, mapping, CONFIG, layers)
     build.build_marts(inputs, CONFIG, CONFIG.base_year, 9, layers)
-    return t.spark.table(f"{layers.marts}.mart_growth_summary")
+    return tables.source(t.spark, layers.marts, "mart_growth_summary")
 
 
 @query

@@ -64,6 +64,9 @@ class PanelInputs:
     mapping: DataFrame
 
 
+MARTS = ("mart_trend_group", "mart_growth_summary", "mart_trend_member")
+
+
 @dataclass(frozen=True)
 class Models:
     inputs: PanelInputs
@@ -174,13 +177,12 @@ def input_suite(inputs: PanelInputs) -> checks.Suite:
         )
         .rows(mapping, _present("mapping", f"{' '.join(MEMBER_NAMES)} group_header group_code group_iso_code group_name"))
     )
-    for name in MEMBER_NAMES:
-        suite.add(f"mapping.{name} unique", checks.unique(mapping, name))
+    unique_names = {f"mapping.{name} unique": name for name in MEMBER_NAMES}
     return (
-        suite.add("index grain", checks.unique_combination(index, ["group_code", "index_type", "metric_type", "year"]))
-        .add("members grain", checks.unique_combination(members, ["member_label", "year", "quarter"]))
-        .add("published grain", checks.unique_combination(published, ["group_header", "year", "quarter"]))
-        .add("mapping grain", checks.unique_combination(mapping, ["group_header", "member_label"]))
+        suite.keys(index, {"index grain": ["group_code", "index_type", "metric_type", "year"]})
+        .keys(members, {"members grain": ["member_label", "year", "quarter"]})
+        .keys(published, {"published grain": ["group_header", "year", "quarter"]})
+        .keys(mapping, unique_names | {"mapping grain": ["group_header", "member_label"]})
         .add("members in mapping", checks.relationships(members, "member_label", mapping))
         .add("mapping covered", checks.reverse_coverage(mapping, members, "member_label", ["year", "quarter"]))
         .add("hierarchy agrees", checks.hierarchy_agrees(members, mapping))
@@ -213,16 +215,13 @@ def model_suite(models: Models, cfg: PanelConfig, first_year: int, n_entities: i
         )
         .rows(summary, _present("summary", "member_code member_iso_code member_name growth_pct"))
     )
-    for name in ("member_code", "member_iso_code"):
-        suite.add(f"summary.{name} unique", checks.unique(summary, name))
     coverage = checks.panel_coverage(trend, "year", first_year, cfg.last_full_year, n_entities, ["index_general", "value"])
     return (
-        suite.add(
-            "annual grain", checks.unique_combination(annual, ["geo_level", "group_header", "member_label", "year"])
-        )
-        .add("groups grain", checks.unique_combination(groups, ["group_code", "year"]))
-        .add("trend grain", checks.unique_combination(trend, ["group_code", "year"]))
-        .add("member_trend grain", checks.unique_combination(detail, ["member_code", "year", "quarter"]))
+        suite.keys(summary, {f"summary.{name} unique": name for name in ("member_code", "member_iso_code")})
+        .keys(annual, {"annual grain": ["geo_level", "group_header", "member_label", "year"]})
+        .keys(groups, {"groups grain": ["group_code", "year"]})
+        .keys(trend, {"trend grain": ["group_code", "year"]})
+        .keys(detail, {"member_trend grain": ["member_code", "year", "quarter"]})
         .add("member_trend in mapping", checks.relationships(detail, "member_code", mapping))
         .add("trend coverage", coverage)
     )

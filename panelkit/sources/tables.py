@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelkit.sources.delimited import read_delimited
+from panelkit.sources.snapshot import Snapshot
 
 
 class SchemaError(ValueError):
@@ -47,15 +50,34 @@ def create_namespace(spark: SparkSession, name: str, description: str = "", loca
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` COMMENT '{comment}'{place}")
 
 
+def digest(columns: Sequence[str]) -> list[Column]:
+    """What tells one collection of rows from another whatever their order: how many, and the sum and xor of their hashes.
+
+    A NULL adds nothing to a hash, so where they stand is hashed as well.
+    """
+    row = F.xxhash64(*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns])
+    return [F.count(F.lit(1)).alias("n"), F.sum(row.cast("decimal(28,0)")).alias("sum"), F.bit_xor(row).alias("xor")]
+
+
 def load_table(df: DataFrame, table: str, schema: T.StructType) -> int:
-    """Replace a table by the frame and check that every row arrived.
+    """Replace a table by the frame and check that every row arrived as it was sent.
 
-    The rows sent are counted while they are written, so the frame is computed
-    once. Returns the row count.
+    The rows sent are counted and their digest is taken while they are written, so the frame is computed once. Returns
+    the row count.
     """
     sent = Observation()
-    conform(df, schema).observe(sent, F.count(F.lit(1)).alias("n")).write.mode("overwrite").saveAsTable(table)
-    return reconcile_row_count(df.sparkSession, table, sent.get["n"])
+    conform(df, schema).observe(sent, *digest(schema.names)).write.mode("overwrite").saveAsTable(table)
+    reconcile_row_count(df.sparkSession, table, sent.get["n"])
+    reconcile_content(df.sparkSession.table(table), table, sent.get)
+    return sent.get["n"]
+
+
+def store_table(snapshot: Snapshot, df: DataFrame, name: str, schema: T.StructType) -> int:
+    """The same for a table of a snapshot, which is replaced when the snapshot is published."""
+    sent = Observation()
+    stored = snapshot.store(conform(df, schema).observe(sent, *digest(schema.names)), name)
+    reconcile_content(stored, name, sent.get)
+    return sent.get["n"]
 
 
 def reconcile_row_count(spark: SparkSession, table: str, expected: int) -> int:
@@ -65,6 +87,24 @@ def reconcile_row_count(spark: SparkSession, table: str, expected: int) -> int:
     return loaded
 
 
+def reconcile_content(loaded: DataFrame, table: str, sent: Mapping[str, object]) -> None:
+    """Raise when the rows are not those sent, be they as many."""
+    found = loaded.agg(*digest(loaded.columns)).first().asDict()
+    if found["n"] != sent["n"]:
+        raise SchemaError(f"{table}: {found['n']} rows loaded, {sent['n']} sent")
+    if found != {name: sent[name] for name in found}:
+        raise SchemaError(f"{table}: {found['n']} rows loaded and sent, but not the same")
+
+
+def content_check(sent: DataFrame, loaded: DataFrame) -> DataFrame:
+    """One row when two tables do not hold the same rows, else none: the rows of each, and whether only values differ."""
+    other = loaded.select(*sent.columns).agg(F.struct(*digest(sent.columns)).alias("d")).scalar()
+    both = sent.agg(F.struct(*digest(sent.columns)).alias("sent")).withColumn("loaded", other)
+    differ = both.filter(~F.col("sent").eqNullSafe(F.col("loaded")))
+    same_count = F.col("sent.n") == F.col("loaded.n")
+    return differ.select(F.col("sent.n").alias("n_sent"), F.col("loaded.n").alias("n_loaded"), same_count.alias("same_count"))
+
+
 def load_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A static dimension from CSV with its declared types (codes stay text).
 
@@ -86,13 +126,6 @@ def materialise_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def publish(spark: SparkSession, checked: str, name: str) -> DataFrame:
-    """Give a stored table its final name, in place of the one before."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {checked} RENAME TO {name}")
-    return spark.table(name)
-
-
 def materialise_table(df: DataFrame, name: str) -> DataFrame:
     """Rebuilt as a stored table."""
     df.write.mode("overwrite").saveAsTable(name)

@@ -8,6 +8,7 @@ from panelkit import GridLayout, PanelConfig
 from panelkit.operators.checks import QualityError
 from panelkit.plans import build, index_file, marts
 from panelkit.sources import tables
+from panelkit.sources.snapshot import Snapshot
 from panelkit.sources.staging import stage
 
 YEARS = range(2000, 2006)
@@ -104,6 +105,26 @@ def test_files_to_marts(spark, sources, layers):
     assert detail.count() == 5 * 22 and len(detail.columns) == 21
 
 
+def test_a_stopped_run_leaves_all_marts_of_the_last(spark, sources, layers, monkeypatch):
+    index_path, frame, mapping = sources
+    build.load_raw(spark, index_path, frame, SOURCE, 5, None, layers)
+    inputs = build.raw_inputs(spark, mapping, CFG, layers)
+    build.build_marts(inputs, CFG, 2000, 5, layers)
+    before = {name: sorted(map(tuple, spark.table(f"p_marts.{name}").collect()), key=str) for name in marts.MARTS}
+    changed = marts.PanelInputs(inputs.index_long, inputs.members.withColumn("value", inputs.members["value"] * 2), inputs.published, mapping)
+    store = Snapshot.store
+
+    def fails_at_the_last(self, df, name):
+        if name == marts.MARTS[-1]:
+            raise RuntimeError("stopped")
+        return store(self, df, name)
+
+    monkeypatch.setattr(Snapshot, "store", fails_at_the_last)
+    with pytest.raises(RuntimeError, match="stopped"):
+        build.build_marts(changed, CFG, 2000, 5, layers)
+    assert before == {name: sorted(map(tuple, spark.table(f"p_marts.{name}").collect()), key=str) for name in marts.MARTS}
+
+
 def test_a_bad_sheet_stops_the_load(spark, sources, layers):
     index_path, _, _ = sources
     bad = spark.createDataFrame(cells(["n1", *ROWS]), "sheet string, row bigint, col bigint, num double, txt string")

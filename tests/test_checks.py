@@ -1,5 +1,7 @@
 """Every check passes on sound input and names its offenders on bad input."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +123,38 @@ def test_reverse_coverage_counts_distinct_periods(spark):
 def test_a_null_is_outside_every_domain(spark):
     df = spark.createDataFrame([("F",), (None,)], "s string")
     assert [tuple(r) for r in checks.accepted_domain(df, "s", ["F"]).collect()] == [(None, True, False)]
+
+
+def test_keys_of_a_table_share_one_pass(spark, tmp_path):
+    data = [("x", 1, 1), ("x", 2, 1), (None, 3, 1), (None, 3, 1), ("y", None, 2), ("y", None, 3)]
+    spark.createDataFrame(data, "a string, b int, c int").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    keys = {"it's a": "a", "a as a set": ["a"], "b and a": ["b", "a"], "all": ["a", "b", "c"], "b": "b", "c and b": ["c", "b"]}
+    run = checks.Suite().keys(df, keys).run()
+    text = run._jdf.queryExecution().executedPlan().toString()
+    assert (text.count("FileScan"), text.count("Expand"), text.count("hashpartitioning")) == (1, 1, 1)
+    got = {r["check"]: (r["failing_rows"], r["sample"]) for r in run.collect()}
+    for name, key in keys.items():
+        single = isinstance(key, str)
+        failing = checks.unique(df, key) if single else checks.unique_combination(df, key)
+        assert got[name][0] == failing.count()
+        sample = min((r[0] for r in failing.select(F.to_json(F.struct(*failing.columns))).collect()), default=None)
+        assert got[name][1] == sample
+
+
+@pytest.mark.parametrize("periods", [["y"], ["y", "q"], ["s"]])
+def test_coverage_of_random_periods(spark, periods):
+    r = random.Random(3)
+    data = [(r.choice([None, "a", "b", "c", "d"]), r.choice([None, -130, -1, 0, 63, 64, 700, *range(1990, 2000)]), r.choice([None, 1, 2])) for _ in range(300)]
+    data = [(k, y, q, None if y is None else f"p{y}") for k, y, q in data]
+    df = spark.createDataFrame(data, "k string, y int, q int, s string")
+    at = [["k", "y", "q", "s"].index(p) for p in periods]
+    held = {}
+    for row in data:
+        held.setdefault(row[0], set()).add(tuple(row[i] for i in at))
+    everything = set().union(*held.values())
+    parents = spark.createDataFrame([(k,) for k in "abcde"], "k string")
+    expected = {k: len(held.get(k, ())) for k in "abcde" if held.get(k, set()) != everything}
+    assert dict(found(checks.reverse_coverage(parents, df, "k", periods))) == expected
+    known = {p for p in everything if None not in p}
+    assert found(checks.complete_grid(df, "k", periods)) == {(300, 4, len(known))}

@@ -185,3 +185,22 @@ def test_an_alias_listed_twice(spark):
 def test_trees_with_missing_members(spark):
     tree = spark.createDataFrame([(s, "h", p, None) for s in ("A", "B") for p in (1, 2)], "sheet string, header string, position int, member string")
     assert all(r.same_tree for r in grid.tree_consistency(tree).collect())
+
+
+def test_a_long_sheet_spreads_evenly(spark):
+    """A million rows on one sheet: no task gets much more than another, and nothing is joined on the sheet alone."""
+    n, columns = 1_000_000, [2, 3]
+    row = F.col("id") + 14
+    targets = spark.range(n).select(F.lit("A").alias("sheet"), row.alias("row"), F.lit("member").alias("level"), F.lit("h").alias("header"), F.col("id").cast("string").alias("member"))
+    cells = spark.range(n).select(F.lit("A").alias("sheet"), row.alias("row"), F.explode(F.array(*[F.lit(c).cast("bigint") for c in columns])).alias("col"), F.col("id").cast("double").alias("num"), F.lit(None).cast("string").alias("txt"))
+    periods = spark.createDataFrame([("A", 2, 2000, 1), ("A", 3, 2000, 2), ("A", 4, 2000, 3)], "sheet string, col bigint, year bigint, quarter bigint")
+    values = grid.cell_values(targets, periods, cells.filter("col = 2 or id % 2 = 0"))
+    sizes = [r[1] for r in values.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 3 * n and len(sizes) > 1 and max(sizes) < 1.5 * sum(sizes) / len(sizes)
+    assert values.groupBy("quarter").agg(F.count("num").alias("n")).orderBy("quarter").collect() == [(1, n), (2, n // 2), (3, 0)]
+
+
+def test_a_cell_given_twice(spark):
+    twice = spark.createDataFrame([*cells(), ("A", 15, 2, 1.0, None)], SCHEMA)
+    with pytest.raises(Exception, match="(?i)duplicate"):
+        grid.parse_grid(twice, HEADERS, SELF, ALIASES, LAYOUT)

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,6 +142,22 @@ def test_dense_grid(rows):
     }
 
 
+@pytest.mark.parametrize("run_periods", [3, panel.RUN_PERIODS])
+def test_dense_grid_of_random_gaps(rows, monkeypatch, run_periods):
+    monkeypatch.setattr(panel, "RUN_PERIODS", run_periods)
+    r = random.Random(run_periods)
+    periods = [(y, q) for y in range(2000, 2006) for q in (1, 2, 3, 4) if r.random() < 0.9]
+    seen = [(f"m{m}", y, q, r.random(), m) for m in range(9) for y, q in periods if r.random() < 0.1 * m]
+    seen += [("unknown", 1999, 1, 0.5, 0), ("m5", None, 1, 9.0, 0), ("m6", 1999, 1, None, 6)]
+    members = rows("m string, name string", *((f"m{m}", f"name {m}") for m in range(9)))
+    got = panel.dense_grid(members, rows("m string, y bigint, q bigint, v double, w int", *seen), ["m"], ["y", "q"])
+    assert got.columns == ["m", "y", "q", "name", "v", "w"]
+    held = {(m, y, q): (v, w) for m, y, q, v, w in seen}
+    calendar = {(y, q) for _, y, q, _, _ in seen if y is not None}
+    expected = {(f"m{m}", y, q, f"name {m}", *held.get((f"m{m}", y, q), (None, None))) for m in range(9) for y, q in calendar}
+    assert {tuple(x) for x in got.collect()} == expected and got.count() == len(expected)
+
+
 TREND = "group_code string, year bigint, value double, index_general double, is_complete_year boolean"
 
 

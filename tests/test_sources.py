@@ -1,3 +1,7 @@
+import csv
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -6,6 +10,7 @@ from panelkit.config import layer_name
 from panelkit.functions import text
 from panelkit.plans import index_file, marts
 from panelkit.sources import delimited, staging, tables
+from panelkit.sources.snapshot import Snapshot
 
 HEADER = "\t".join(index_file.INDEX_HEADER)
 LINES = [
@@ -139,6 +144,122 @@ def test_quoted_line_breaks(spark, tmp_path):
     assert [tuple(r) for r in delimited.read_delimited(spark, str(path), ["x", "y"]).collect()] == [("one\ntwo", "2")]
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Files are read in splits of so many bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+
+    def cut(size):
+        spark.conf.set(names[0], str(size))
+        spark.conf.set(names[1], "0")
+
+    yield cut
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def quoted_text(seed, n_rows, eol):
+    """Rows of three fields with quotes, separators and line breaks inside."""
+    r = random.Random(seed)
+
+    def field():
+        plain = "".join(r.choice("ab 1é") for _ in range(r.randrange(0, 6)))
+        inner = "".join(r.choice(["a", "b", "\n", '""', "\t", ",", "\r\n", " ", "é", "\n\n"]) for _ in range(r.randrange(0, 9)))
+        return r.choice([plain, plain, f'x{plain}"{plain}', f'"{inner}"', f'"{inner}"'])
+
+    return 'a\t"b\n2"\tc' + eol + "".join("\t".join(field() for _ in range(3)) + eol for _ in range(n_rows))
+
+
+def by_csv(text):
+    """What Python reads; it does not tell an empty field from a missing one."""
+    return list(csv.reader(io.StringIO(text, newline=""), delimiter="\t"))
+
+
+@pytest.mark.parametrize("size", [40, 133, 1 << 27])
+def test_quoted_files_by_splits(spark, tmp_path, small_splits, size):
+    expected = []
+    for k, eol in enumerate(["\n", "\r\n", "\n"]):
+        text = quoted_text(k, 60, eol)
+        (tmp_path / f"{k}.tsv").write_bytes(("\ufeff" * (k % 2) + text).encode())
+        expected += by_csv(text)[1:]
+    small_splits(size)
+    got = delimited.read_delimited(spark, str(tmp_path), ["a", "b\n2", "c"])
+    assert got.columns == delimited.read_delimited(spark, str(tmp_path)).columns
+    assert sorted([v or "" for v in r] for r in got.collect()) == sorted(expected)
+
+
+def test_one_quoted_file_is_read_by_many_tasks(spark, tmp_path, small_splits):
+    text = quoted_text(7, 400, "\n")
+    (tmp_path / "a.tsv").write_bytes(text.encode())
+    one = spark.read.options(sep="\t", header=True, **delimited.CSV).csv(str(tmp_path))
+    assert one.rdd.getNumPartitions() == 1
+    expected = sorted(map(tuple, one.collect()), key=str)
+    small_splits(512)
+    lines = delimited.text_lines(spark, str(tmp_path), "\t")
+    assert lines.rdd.getNumPartitions() == -(-len(text.encode()) // 512) > 10
+    assert lines.groupBy("block").count().agg(F.max("count")).first()[0] < 200
+    assert sorted(map(tuple, delimited.read_delimited(spark, str(tmp_path)).collect()), key=str) == expected
+
+
+def test_a_field_over_many_splits(spark, tmp_path, small_splits):
+    long = "\n".join(f'line {i} ""quoted""\tand, more' for i in range(300))
+    (tmp_path / "a.tsv").write_text(f'x\ty\n1\t"{long}"\n2\tshort\n', encoding="utf-8")
+    small_splits(100)
+    got = {r["x"]: r["y"] for r in delimited.read_delimited(spark, str(tmp_path), ["x", "y"]).collect()}
+    assert got == {"1": long.replace('""', '"'), "2": "short"}
+
+
+def test_faulty_quotes_and_headers(spark, tmp_path, small_splits):
+    small_splits(16)
+    (tmp_path / "a.tsv").write_text('x\ty\n1\t"never closed\n2\t3\n', encoding="utf-8")
+    with pytest.raises(delimited.QuoteError, match="a.tsv"):
+        delimited.read_delimited(spark, str(tmp_path), ["x", "y"])
+    (tmp_path / "a.tsv").write_text("\n\nx\ty\n1\t2\n\n", encoding="utf-8")
+    (tmp_path / "b.tsv").write_text("x\ty\n", encoding="utf-8")
+    (tmp_path / "c.tsv").write_text("", encoding="utf-8")
+    assert [tuple(r) for r in delimited.read_delimited(spark, str(tmp_path), ["x", "y"]).collect()] == [("1", "2")]
+    (tmp_path / "b.tsv").write_text("x\tz\n3\t4\n", encoding="utf-8")
+    with pytest.raises(Exception, match="unexpected header in .*b.tsv"):
+        delimited.read_delimited(spark, str(tmp_path), ["x", "y"]).collect()
+
+
+def test_swapped_values_are_noticed(spark, rows, namespace):
+    sent = rows("k string, n bigint", ("a", 1), ("b", None), ("b", None), ("c", 3))
+    tables.load_table(sent, f"{namespace}.d", SCHEMA)
+    held = sent.agg(*tables.digest(sent.columns)).first().asDict()
+    tables.reconcile_content(sent.orderBy(F.desc("k")), "d", held)
+    for other in ([("a", 3), ("b", None), ("b", None), ("c", 1)], [("a", 1), ("a", 1), ("b", None), ("c", 3)], [(None, 1), ("b", None), ("b", None), ("c", 3)]):
+        loaded = rows("k string, n bigint", *other)
+        with pytest.raises(tables.SchemaError, match="not the same"):
+            tables.reconcile_content(loaded, "d", held)
+        assert [tuple(r) for r in tables.content_check(sent, loaded).collect()] == [(4, 4, True)]
+    with pytest.raises(tables.SchemaError, match="2 rows loaded, 4 sent"):
+        tables.reconcile_content(sent.limit(2), "d", held)
+    assert tables.content_check(sent, sent).count() == 0
+    assert tables.content_check(sent.limit(0), sent.limit(0)).count() == 0
+
+
+def test_a_snapshot_is_seen_whole_or_not_at_all(spark, rows, namespace):
+    def seen():
+        return [spark.table(f"{namespace}.{t}").first()[0] for t in ("one", "two")]
+
+    for value in (1, 2):
+        snapshot = Snapshot(spark, namespace)
+        for name in ("one", "two"):
+            snapshot.store(rows("v int", (value,)), name)
+            assert value == 1 or seen() == [1, 1]
+        assert snapshot.table("two").first()[0] == value
+        published = snapshot.publish()
+        assert seen() == [value, value] == [published[t].first()[0] for t in ("one", "two")]
+    broken = Snapshot(spark, namespace)
+    broken.store(rows("v int", (3,)), "one")
+    with pytest.raises(Exception, match="(?i)column|schema"):
+        broken.store(rows("other string", ("x",)), "two")
+    assert seen() == [2, 2]
+    assert Snapshot(spark, namespace).go_back() and seen() == [1, 1]
+
+
 def test_seeds_are_strict(spark, tmp_path):
     schema = T.StructType([T.StructField("code", T.StringType(), False), T.StructField("flag", T.BooleanType())])
     path = tmp_path / "a.csv"
