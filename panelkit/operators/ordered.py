@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,19 +81,24 @@ def number_in_group(
     )
 
 
+# monotonically_increasing_id counts the rows of a partition in these bits, and numbers partitions above them
+_ROW_BITS = 33
+
+
 def number_distinct(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
-    """The distinct combinations of some columns and the place of each in their order, from 0; NULL comes first.
+    """The distinct combinations of some columns and the place of each in their order, from 0, stored; NULL comes first.
 
-    They are dealt out by ranges, stored with their range, and each range starts where the counts of those before it end.
+    They are dealt out by ranges and stored in order with their place in their range. What lies before a range is told
+    by the sizes of the ranges, one number for each partition that the session shuffles to.
     """
-    ranged = df.select(*columns).distinct().repartitionByRange(*columns).withColumn(_BLOCK, F.spark_partition_id())
-    ranged = stage(ranged, "distinct-ranges")
-    offsets = ranged.groupBy(_BLOCK).agg(F.count(F.lit(1)).alias("n")).select(
-        _BLOCK, F.coalesce(F.sum("n").over(_earlier([])), F.lit(0)).alias(_CARRIED)
-    )
-    inside = Window.partitionBy(_BLOCK).orderBy(*columns)
-    place = F.row_number().over(inside) + F.col(_CARRIED) - 1
-    return ranged.join(offsets, _BLOCK).select(*columns, place.cast("bigint").alias(out))
+    ranged = df.select(*columns).distinct().repartitionByRange(*columns).sortWithinPartitions(*columns)
+    ranged = stage(ranged.withColumn(_CARRIED, F.monotonically_increasing_id()), "distinct-ranges")
+    part, own = F.shiftright(_CARRIED, _ROW_BITS), F.col(_CARRIED) % (1 << _ROW_BITS)
+    sizes = dict(ranged.groupBy(part.cast("int").alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before = [0]
+    for k in range(max(sizes, default=0)):
+        before.append(before[-1] + sizes.get(k, 0))
+    return ranged.select(*columns, (F.get(F.lit(np.array(before, dtype=np.int64)), part.cast("int")) + own).alias(out))
 
 
 def cut_block(

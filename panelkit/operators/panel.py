@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from panelkit.functions import numeric, text
 from panelkit.operators.ordered import number_distinct
-from panelkit.sources.staging import stage
 
 MEMBER, GROUP, NATIONAL = "member", "group", "national"
 
@@ -33,14 +32,22 @@ def missing_runs(members: DataFrame, places: DataFrame, keys: Sequence[str], pla
     return runs.filter("first <= last")
 
 
-def dense_grid(members: DataFrame, observed: DataFrame, keys: Sequence[str], periods: Sequence[str]) -> DataFrame:
+def calendar_of(observed: DataFrame, periods: Sequence[str]) -> DataFrame:
+    """The distinct periods with their number, stored; a NULL is no period."""
+    return number_distinct(observed.dropna(subset=list(periods)), periods, "__place")
+
+
+def dense_grid(
+    members: DataFrame, observed: DataFrame, keys: Sequence[str], periods: Sequence[str], calendar: DataFrame | None = None
+) -> DataFrame:
     """Every member in every period that occurs anywhere, with the observed columns or NULL; a NULL is no period.
 
     The distinct periods are numbered by ranges. What a member has stays; what it lacks is found as runs between the
-    numbers that it has, and only these are spelt out, so no list of all periods exists anywhere.
+    numbers that it has, and only these are spelt out, so no list of all periods exists anywhere. Panels with the same
+    periods can share their ``calendar``.
     """
     known = observed.dropna(subset=list(periods))
-    calendar = stage(number_distinct(known, periods, "__place"), "calendar")
+    calendar = calendar or calendar_of(known, periods)
     n_places = calendar.agg(F.count(F.lit(1))).scalar()
     own = known.join(members.select(*keys), list(keys), "left_semi").join(calendar, list(periods))
     runs = missing_runs(members, own, keys, "__place", n_places)
@@ -63,15 +70,18 @@ def flagged_mean(units: Column, count: Column, scale: int, min_obs: int, digits:
     return value, flag
 
 
+def member_level(members: DataFrame) -> DataFrame:
+    return members.select(F.lit(MEMBER).alias("geo_level"), "group_header", "member_label", "year", "value", "value_flag")
+
+
+def published_level(aggregates: DataFrame) -> DataFrame:
+    none = F.lit(None).cast("string").alias("member_label")
+    return aggregates.select("geo_level", "group_header", none, "year", "value", "value_flag")
+
+
 def stack_levels(members: DataFrame, aggregates: DataFrame) -> DataFrame:
     """Member and published rows in one table, told apart by geo_level."""
-    fine = members.select(
-        F.lit(MEMBER).alias("geo_level"), "group_header", "member_label", "year", "value", "value_flag"
-    )
-    coarse = aggregates.select(
-        "geo_level", "group_header", F.lit(None).cast("string").alias("member_label"), "year", "value", "value_flag"
-    )
-    return fine.unionByName(coarse)
+    return member_level(members).unionByName(published_level(aggregates))
 
 
 def annualise(
@@ -258,12 +268,16 @@ def seasonal_yoy(
     """The value of the same season one calendar year before, and the change.
 
     Needs the grain (keys, year, season) to be unique; a yearly panel has no
-    season. Reading the previous row
+    season. Reading the previous row of an entity, season by season,
     and keeping it only when it is last year's replaces a self join: one pass
-    over the panel and one shuffle.
+    over the panel and one shuffle by entity, which later joins by entity need
+    as well, or none where the panel is stored by entity.
     """
-    order = Window.partitionBy(*keys, *([season] if season else [])).orderBy(year)
-    prior = F.when(F.lag(year).over(order) == F.col(year) - 1, F.lag(value).over(order))
+    order = Window.partitionBy(*keys).orderBy(*([season] if season else []), year)
+    is_prior = F.lag(year).over(order) == F.col(year) - 1
+    if season:
+        is_prior = is_prior & (F.lag(season).over(order) == F.col(season))
+    prior = F.when(is_prior, F.lag(value).over(order))
     return df.withColumn("value_prior_year", prior).withColumn(
         "yoy_pct", numeric.pct_change(F.col(value), F.col("value_prior_year"), 2)
     )

@@ -76,18 +76,26 @@ class Trade:
     def groups(self) -> DataFrame:
         return marts.group_model(stage(self.annual, "annual"), stage(self.mapping, "mapping"), CONFIG)
 
+    @cached_property
+    def stored_groups(self) -> DataFrame:
+        return stage(marts.group_model(self.stored_annual, self.inputs.mapping, CONFIG), "groups")
+
     @cached_property
     def trend(self) -> DataFrame:
         groups = marts.group_model(self.stored_annual, self.inputs.mapping, CONFIG)
         return marts.trend_model(self.inputs, groups, CONFIG)
 
+    @cached_property
+    def anchors(self) -> DataFrame:
+        return growth.anchor_values(self.stored_annual, self.stored_groups, self.inputs.index_long, CONFIG)
+
     @cached_property
     def stored_trend(self) -> DataFrame:
         return stage(self.trend, "trend")
 
     @cached_property
     def summary(self) -> DataFrame:
-        return growth.growth_summary(self.stored_annual, self.stored_trend, self.inputs.mapping, CONFIG)
+        return growth.growth_summary(self.stored_annual, self.stored_groups, self.inputs.index_long, self.inputs.mapping, CONFIG)
 
     @cached_property
     def models(self) -> marts.Models:
@@ -234,14 +242,13 @@ def exact_mean(t: Trade) -> DataFrame:
 
 @query
 def growth_windows(t: Trade) -> DataFrame:
-    return growth.growth_windows(growth.member_pivot(t.annual, t.mapping, CONFIG), CONFIG)
+    return growth.growth_windows(growth.member_anchors(t.anchors, t.inputs.mapping), CONFIG)
 
 
 @query
 def benchmark_growth(t: Trade) -> DataFrame:
-    members = growth.member_pivot(t.stored_annual, t.inputs.mapping, CONFIG).select("member_code", "group_code")
-    groups = growth.group_pivot(t.stored_trend, CONFIG)
-    return growth.benchmark_growth(members, groups, CONFIG.national_code)
+    members = growth.member_anchors(t.anchors, t.inputs.mapping).select("member_code", "group_code")
+    return growth.benchmark_growth(members, growth.group_anchors(t.anchors), CONFIG.national_code)
 
 
 @query

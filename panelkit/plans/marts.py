@@ -107,8 +107,10 @@ def stage_published(raw: DataFrame) -> DataFrame:
 
 
 def annual_model(inputs: PanelInputs, cfg: PanelConfig) -> DataFrame:
-    both = panel.stack_levels(inputs.members, inputs.published)
-    return panel.annualise(both, periods=cfg.periods_per_year, scale=cfg.value_scale)
+    """Levels are averaged apart, as no mean spans two of them: members stored by member need no shuffle."""
+    levels = (panel.member_level(inputs.members), panel.published_level(inputs.published))
+    own = [panel.annualise(level, periods=cfg.periods_per_year, scale=cfg.value_scale) for level in levels]
+    return own[0].unionByName(own[1])
 
 
 def group_model(annual: DataFrame, mapping: DataFrame, cfg: PanelConfig) -> DataFrame:
@@ -136,7 +138,7 @@ def build_models(
     annual = stage(annual_model(inputs, cfg), "annual")
     groups = stage(group_model(annual, inputs.mapping, cfg), "groups")
     trend = store(trend_model(inputs, groups, cfg), "mart_trend_group")
-    summary = store(growth.growth_summary(annual, trend, inputs.mapping, cfg), "mart_growth_summary")
+    summary = store(growth.growth_summary(annual, groups, inputs.index_long, inputs.mapping, cfg), "mart_growth_summary")
     detail = growth.trend_by_member(inputs.members, annual, summary, inputs.mapping, cfg)
     member_trend = store_last(detail, "mart_trend_member")
     return Models(inputs, annual, groups, trend, summary, member_trend)

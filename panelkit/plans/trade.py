@@ -18,7 +18,7 @@ from panelkit.functions import numeric, text
 from panelkit.operators import panel
 from panelkit.plans.index_file import stage_index
 from panelkit.plans.marts import PanelInputs, stage_members, stage_published
-from panelkit.sources.staging import stage, together
+from panelkit.sources.staging import stage, stage_buckets, together
 
 CONFIG = PanelConfig(base_year=1996, recent_base_year=1998, last_full_year=2000, index_first_year=1996)
 MIN_OBS = 10
@@ -100,10 +100,10 @@ def _sheet(year: Column) -> Column:
     return F.concat(F.lit("S"), F.floor((year - 1995) / 4).cast("string"))
 
 
-def member_quarter(map_df: DataFrame, totals: DataFrame, min_obs: int = MIN_OBS) -> DataFrame:
+def member_quarter(map_df: DataFrame, totals: DataFrame, min_obs: int = MIN_OBS, calendar: DataFrame | None = None) -> DataFrame:
     """The raw member panel: every member in every quarter that occurs."""
     members = map_df.select("member_code", "member_label", "group_header", "is_single_member_group")
-    grid = panel.dense_grid(members, totals, ["member_code"], ["year", "quarter"])
+    grid = panel.dense_grid(members, totals, ["member_code"], ["year", "quarter"], calendar)
     value, flag = panel.flagged_mean(F.col("units"), F.col("n"), MONEY_SCALE, min_obs)
     return grid.select(
         "group_header",
@@ -117,7 +117,7 @@ def member_quarter(map_df: DataFrame, totals: DataFrame, min_obs: int = MIN_OBS)
     )
 
 
-def published_quarter(map_df: DataFrame, totals: DataFrame, min_obs: int = MIN_OBS) -> DataFrame:
+def published_quarter(map_df: DataFrame, totals: DataFrame, min_obs: int = MIN_OBS, calendar: DataFrame | None = None) -> DataFrame:
     """The raw published panel: pooled means by header and over everything."""
     by_member = totals.join(map_df.select("member_code", "group_header"), "member_code")
     pooled = (
@@ -139,7 +139,7 @@ def published_quarter(map_df: DataFrame, totals: DataFrame, min_obs: int = MIN_O
     headers = map_df.select(F.lit(panel.GROUP).alias("geo_level"), "group_header").distinct()
     total = map_df.select(F.lit(panel.NATIONAL).alias("geo_level"), F.lit(TOTAL_HEADER).alias("group_header")).distinct()
     grid = panel.dense_grid(
-        headers.unionByName(total), pooled, ["geo_level", "group_header"], ["year", "quarter"]
+        headers.unionByName(total), pooled, ["geo_level", "group_header"], ["year", "quarter"], calendar
     )
     value, flag = panel.flagged_mean(F.col("units"), F.col("n"), MONEY_SCALE, min_obs)
     return grid.select("geo_level", "group_header", "year", "quarter", value.alias("value"), flag.alias("value_flag"))
@@ -227,10 +227,11 @@ def panel_inputs(spark: SparkSession, sf_dir: str, min_obs: int = MIN_OBS) -> Pa
 
     def level_tables() -> tuple[DataFrame, DataFrame]:
         orders = order_totals(spark, sf_dir)
+        calendar = panel.calendar_of(orders, ["year", "quarter"])
         return tuple(
             together(
-                lambda: stage(member_quarter(map_df, orders, min_obs), "members"),
-                lambda: stage(published_quarter(map_df, orders, min_obs), "published"),
+                lambda: stage_buckets(member_quarter(map_df, orders, min_obs, calendar), "members", ["member_label"]),
+                lambda: stage(published_quarter(map_df, orders, min_obs, calendar), "published"),
             )
         )
 

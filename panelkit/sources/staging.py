@@ -10,11 +10,12 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import InheritableThread
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -50,9 +51,26 @@ class Counted:
 
 
 def stage_counted(df: DataFrame, name: str) -> Counted:
-    """Stage a frame and count its rows, which the file footers tell."""
-    stored = stage(df, name)
-    return Counted(stored, stored.count())
+    """Stage a frame and count its rows while they are written."""
+    seen = Observation()
+    # rows of any schema are counted, so what is stored has the columns of the frame alone
+    stored = stage(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return Counted(stored, seen.get["n"])
+
+
+def stage_buckets(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """Write a frame dealt by its keys and read it back so that Spark knows: what works by these keys needs no shuffle.
+
+    The catalog knows the table only until its frame is read back; the files stay like those of other staged frames.
+    """
+    spark = df.sparkSession
+    own = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.repartition(n, *keys).write.option("path", f"{shared_dir(spark)}/staged/{own}")
+    writer.bucketBy(n, *keys).saveAsTable(own)
+    stored = spark.table(own)
+    spark.sql(f"DROP TABLE {own}")
+    return stored
 
 
 def together(*jobs: Callable[[], DataFrame]) -> list[DataFrame]:

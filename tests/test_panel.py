@@ -173,13 +173,22 @@ def annual(rows):
     )
 
 
+def sources_of(trend):
+    """The groups and the index behind a trend; other kinds and metrics of the index are noise."""
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("index_type"), F.lit(m).alias("metric_type")) for k in ("general", "new") for m in ("index", "other")]))
+    index = trend.select("group_code", "year", "index_general", kinds.alias("k")).select(
+        "group_code", "year", "k.*", F.when(F.expr("k.index_type = 'general' and k.metric_type = 'index'"), F.col("index_general")).otherwise(-1.0).alias("value")
+    )
+    return trend.drop("index_general"), index
+
+
 def test_growth_summary(rows, mapping, annual):
-    trend = rows(
+    groups, index = sources_of(rows(
         TREND,
         ("00", 2000, 100.0, 10.0, True), ("00", 2004, 110.0, 20.0, True),
         ("01", 2000, 100.0, 10.0, False), ("01", 2002, 100.0, None, True), ("01", 2004, 105.0, 15.0, True),
-    )
-    got = growth.growth_summary(annual, trend, mapping, CFG)
+    ))
+    got = growth.growth_summary(annual, groups, index, mapping, CFG)
     assert len(got.columns) == 27
     found = as_set(
         got, "member_name", "growth_pct", "cagr_pct", "growth_pct_recent", "group_value_growth_pct",
@@ -191,14 +200,13 @@ def test_growth_summary(rows, mapping, annual):
         ("b", None, None, None, 5.0, 50.0, 100.0, None, None, 2, "Top 5"),
         ("solo", None, None, None, None, None, 100.0, None, None, 2, "Top 5"),
     }
-    strict = growth.growth_summary(annual, trend, mapping, CFG, strict_complete=True)
+    strict = growth.growth_summary(annual, groups, index, mapping, CFG, strict_complete=True)
     assert as_set(strict.filter("member_name = 'a'"), "group_value_growth_pct") == {(None,)}
 
 
 def test_missing_benchmark(rows, mapping, annual):
-    trend = rows(TREND, ("01", 2000, 1.0, 1.0, True))
-    members = growth.member_pivot(annual, mapping, CFG)
-    groups = growth.group_pivot(trend, CFG)
+    anchors = growth.anchor_values(annual, *sources_of(rows(TREND, ("01", 2000, 1.0, 1.0, True))), CFG)
+    members, groups = growth.member_anchors(anchors, mapping), growth.group_anchors(anchors)
     assert growth.benchmark_growth(members, groups, "00", missing_national="empty").count() == 0
     with pytest.raises(Exception, match="no benchmark row"):
         growth.benchmark_growth(members, groups, "00").collect()

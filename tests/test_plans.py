@@ -5,7 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from panelkit.plans import trade
+from panelkit.operators import growth, panel
+from panelkit.plans import marts, trade
+from panelkit.sources import staging
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -61,3 +63,44 @@ def test_a_hot_customer(spark, tmp_path, unstaged):
         expected[key] = (units + round(r.o_totalprice * 100), n + 1)
     got = trade.order_totals(spark, str(tmp_path)).collect()
     assert {(r.member_code, r.year, r.quarter): (int(r.units), r.n) for r in got} == expected
+
+
+def exchanges_above(text, what):
+    """The exchanges on the way from each node of a plan that names something up to the root."""
+    found, path = [], []
+    for line in text.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        path = [(d, t) for d, t in path if d < depth] + [(depth, line)]
+        if what in line and "Scan" in line:
+            found.append(sum("Exchange" in t for _, t in path))
+    return found
+
+
+def test_quarters_of_members_are_not_shuffled_again(spark):
+    """Stored by member, they are averaged, compared with the year before, rebased and joined where they lie."""
+    inputs = trade.panel_inputs(spark, SF_DIR)
+    annual = staging.stage(marts.annual_model(inputs, trade.CONFIG), "annual")
+    ranks = inputs.mapping.select("member_code", F.lit(1).alias("growth_rank"), F.lit("x").alias("rank_group"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        for members, most in ((inputs.members, 0), (staging.stage(inputs.members, "members"), 1)):
+            trend = growth.trend_by_member(members, annual, ranks, inputs.mapping, trade.CONFIG)
+            text = plan(trend)
+            assert "Window" in text and text.count("SortMergeJoin") >= 2
+            assert exchanges_above(text, "/members") == [most]
+        means = plan(panel.annualise(panel.member_level(inputs.members)))
+        assert "Exchange" not in means and "Bucketed: true" in means
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_growth_takes_one_aggregation(spark):
+    inputs = trade.panel_inputs(spark, SF_DIR)
+    annual = staging.stage(marts.annual_model(inputs, trade.CONFIG), "annual")
+    groups = staging.stage(marts.group_model(annual, inputs.mapping, trade.CONFIG), "groups")
+    anchors = growth.anchor_values(annual, groups, inputs.index_long, trade.CONFIG)
+    text = plan(anchors)
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("Scan parquet") == 3
