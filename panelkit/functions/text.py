@@ -23,7 +23,8 @@ MISSING_TOKENS = (
     "n/a", "nan", "null",
 )
 
-NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# what a number may consist of; the cast knows the order, but takes words and suffixes of other languages as well
+NUMBER_CHARACTERS = "0123456789+-.eE"
 
 NO_DATA = "no_data"
 NOT_REPRESENTATIVE = "not_representative"
@@ -69,10 +70,12 @@ def locale_number(text: Column, strict: bool = True, tokens: tuple[str, ...] = (
     Missing tokens become NULL. Other text that is no number, by the pattern and
     not only to the cast, raises when strict and becomes NULL otherwise.
     """
-    plain = F.when(~strip(text).isin(*tokens), F.replace(strip(text), F.lit(","), F.lit(".")))
+    plain = F.replace(strip(text), F.lit(","), F.lit("."))
     # a cast that is bound to fail names the text
     other = F.concat(F.lit("no number: "), plain).cast("double") if strict else F.lit(None).cast("double")
-    return F.when(plain.rlike(NUMBER), plain.try_cast("double")).otherwise(other)
+    number = F.when(F.translate(plain, NUMBER_CHARACTERS, "") == "", plain.try_cast("double"))
+    missing = plain.isin(*[t.replace(",", ".") for t in tokens])
+    return F.when(missing, None).otherwise(F.coalesce(number, other) if strict else number)
 
 
 def padded(number: Column, digits: int = 2) -> Column:
