@@ -8,12 +8,15 @@ A document is the set of its shingles. Two link when 100 * intersection >= perce
    frequent of its shingles and still share one. What remains are rare shingles; common passages do not gather documents.
 3. Documents that share such a shingle stand in one tree; shingles with the same documents share theirs. First each is compared with one other that it shares most
    with, so that groups of near copies become components without comparing all with all.
-4. Each shingle whose documents lie in several components gets a signature tree: its leaves are documents, ordered by
+4. Documents that still stand in a tree with others of another component look at their whole sets, in the order of how many
+   of these documents have a shingle. Two sets that link share a shingle among the rarest n - ceil(percent n) + 1 of each,
+   so a passage gathers only documents of which it makes up nearly all.
+5. Each such shingle whose documents lie in several components gets a signature tree: its leaves are documents, ordered by
    component and size; nodes hold the OR of the bitmaps of what is below, and ranges of size, of component and of what
    bitmaps hide. Two trees are walked at once from the top. A pair of nodes is left when it lies in one component, when
    its sizes cannot fit, or when the common bits cannot carry the overlap that the smallest sizes need. A large tree is cut
    into blocks, and whole blocks are paired by the same bound before any document is sent.
-5. Pairs of documents that remain are compared by whole sets.
+6. Pairs of documents that remain are compared by whole sets.
 
 Shingles are compared by 64-bit hashes; sets are equal if their size and two 64-bit sums over them are.
 
@@ -230,13 +233,53 @@ def _ordered(table: pa.Table) -> tuple[np.ndarray, Level]:
     return doc[order], Level.leaves(_words(table.column("bits"))[order], n[order], component[order])
 
 
+def in_several(posts: DataFrame) -> DataFrame:
+    """The rows (key, doc, component) of keys whose documents lie in several components."""
+    posts = stage(posts, "shingle-sides")
+    ends = posts.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return posts.join(ends.filter("low < high").select("key"), "key", "left_semi")
+
+
+def rare_keys(sets: DataFrame, how: Shingles) -> DataFrame:
+    """key and doc: of each set the shingles that others have, among as many of its rarest as two sets that link must share one of."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches, "shingles"):
+            counts = batch.column("n").to_numpy()
+            keys = np.frombuffer(b"".join(batch.column("shingles").to_pylist()), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(batch.column("doc").to_numpy(), counts)), pa.array(np.repeat(counts, counts))], ["key", "doc", "n"])
+
+    posts = stage(sets.select("doc", "n", "shingles").mapInArrow(spread, "key long, doc long, n long"), "shingle-whole-posts")
+    often = stage(posts.groupBy("key").agg(F.count("*").alias("often")).filter("often > 1"), "shingle-often")
+    shared = posts.join(often, "key").groupBy("doc", "n").agg(F.array_sort(F.collect_list(F.struct("often", "key"))).alias("keys"))
+    # shingles that no other set has are the rarest
+    first = F.col("n") - F.ceil(F.col("n") * how.percent / 100) + 1 - (F.col("n") - F.size("keys"))
+    chosen = shared.filter(first > 0).select("doc", F.explode(F.slice("keys", 1, first.cast("int"))).alias("k"))
+    return one_tree_for_like_keys(stage(chosen.select("k.key", "doc"), "shingle-rare"))
+
+
+def one_tree_for_like_keys(posts: DataFrame) -> DataFrame:
+    """Shingles of a common passage have nearly the same documents: those alike in four of them, two picked by hash, share a tree of all theirs."""
+    some = [F.min("doc"), F.max("doc"), F.min_by("doc", F.xxhash64("doc")), F.max_by("doc", F.xxhash64("doc"))]
+    picked = [column.alias(name) for column, name in zip(some, "abcd", strict=True)]
+    alike = stage(posts.groupBy("key").agg(*picked).filter("a < b"), "shingle-picked")
+    trees = alike.join(alike.groupBy(*"abcd").agg(F.min("key").alias("tree")), [*"abcd"]).select("key", "tree")
+    return posts.join(trees, "key").select(F.col("tree").alias("key"), "doc").distinct()
+
+
 def tree_pairs(rows: DataFrame, how: Shingles) -> DataFrame:
     """Pairs of documents (x < y) of different components that the tree of a key cannot rule out.
 
     ``rows`` has key, doc, n, component and bits. Blocks of a tree are nodes of its top level.
     """
+    kind = F.floor(F.col("n") / 16).alias("kind")
     sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / how.block).alias("blocks"))
-    rows = stage(rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("component", F.floor(F.col("n") / 16)), "blocks")).drop("blocks"), "tree-rows")
+    # a component of many sets of like size is cut further, so that no block is one of any size
+    alike = rows.groupBy("key", "component", kind).agg(F.ceil(F.count("*") / how.block).alias("parts"))
+    part = F.pmod(F.xxhash64("doc"), F.col("parts"))
+    block = F.pmod(F.xxhash64("component", "kind", part), F.col("blocks")).alias("block")
+    rows = rows.select("*", kind).join(alike, ["key", "component", "kind"]).join(sizes, "key").select(*rows.columns, block)
+    rows = stage(rows, "tree-rows")
     node = "key long, block long, n_docs long, low long, high long, first long, last long, hidden long, bits binary"
 
     def top(table: pa.Table) -> pa.Table:
@@ -309,9 +352,10 @@ def join(docs: DataFrame, how: Shingles = Shingles()) -> DataFrame:
     again = apart.select(F.col("pivot").alias("x"), F.col("doc").alias("y")).join(nearest, ["x", "y"], "left_anti")
     edges = stage(edges.unionAll(compared(plausible(again, sets, how), sets, how)), "shingle-links")
 
-    posts = stage(named(posts.select("key", "doc"), smallest_reachable(edges), "doc", "component"), "shingle-trees")
-    mixed = posts.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    trees = posts.join(mixed, "key", "left_semi").join(sets.select("doc", "n", "bits"), "doc")
+    names = stage(smallest_reachable(edges), "shingle-names")
+    apart = in_several(named(posts.select("key", "doc"), names, "doc", "component")).select("doc").distinct()
+    rare = rare_keys(sets.join(stage(apart, "shingle-apart"), "doc", "left_semi"), how)
+    trees = in_several(named(rare, names, "doc", "component")).join(sets.select("doc", "n", "bits"), "doc")
     left = compared(tree_pairs(trees, how), sets, how)
     names = smallest_reachable(edges.unionAll(left))
 

@@ -130,6 +130,27 @@ def test_near_copies_of_a_table(table):
     assert sorted(map(tuple, found), key=str) == near_copies(texts_of(table), 4, 85)[0]
 
 
+def test_boilerplate_gathers_no_pairs(spark, documents, monkeypatch):
+    """Documents that share a long passage and link with nothing: what trees are sent grows no faster than their number."""
+    kept, stage = {}, signature_trees.stage
+
+    def noted(df, name):
+        kept[name] = stage(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(signature_trees, "stage", noted)
+    sent = []
+    for n in (1000, 4000):
+        kept.clear()
+        passage = " ".join(f"shared{k}" for k in range(70))
+        rows = [(i, passage + " " + " ".join(f"own{i}x{k}" for k in range(90)), "s") for i in range(n)]
+        rows += [(n + i, rows[i][1] + " one more word", "s") for i in range(0, n, 50)]
+        found = signature_trees.join(documents(*rows), signature_trees.Shingles(size=5, percent=80)).collect()
+        assert {r["doc_id"]: r["component_id"] for r in found} == {i: i for i in range(n)} | {n + i: i for i in range(0, n, 50)}
+        sent.append(kept["tree-rows"].join(kept["tree-blocks"], ["key", "block"]).count())
+    assert sent[1] <= 4 * sent[0] + 100
+
+
 def test_near_copies_of_nothing(documents):
     assert signature_trees.join(documents()).count() == 0
 
