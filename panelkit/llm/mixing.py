@@ -4,13 +4,14 @@ Each document draws the key -ln(u) / w (Efraimidis and Spirakis), u being a hash
 A source first gives as many complete epochs as its target holds; the rest is filled in the order of the keys up to the
 budget, by a running sum of sizes. The document at the edge of the budget is taken if that comes nearer to it.
 
-No source is sorted as a whole: keys fall into ordered buckets, sums of buckets give the bucket in which the budget
-ends, and only the documents of that bucket, one in thousands, are sorted. The outcome is one cut per source, which
-every document is compared with; texts are not shuffled.
+No source is sorted as a whole: keys fall into ordered buckets, in two steps. Sums of coarse buckets give the one in which
+the budget ends, sums of the fine ones in it the next, and only the documents of that, one in millions, are sorted. The
+outcome is one cut per source, which every document is compared with; texts are not shuffled.
 
 Defined results: a null text has size 0 and weight 1; documents of size 0 take 0 words; a source of size 0 has the
-target 0; null sources form one group, the last; rows that repeat a doc_id share a key and go by size; rows equal in
-doc_id and size share their fate; an empty table gives no rows; other columns are kept by ``copies`` and ignored by ``mix``.
+target 0; null sources form one group, the last; rows without doc_id draw their keys by their place in the scan; rows
+that repeat a doc_id share a key and go by size, then by their place; an empty table gives no rows; other columns are kept
+by ``copies`` and ignored by ``mix``. Files are scanned in the same order each time, so reruns agree.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 from panelkit.llm import common
 from panelkit.sources.staging import stage
 
-#: Buckets of keys in each source.
-BUCKETS = 1 << 12
+#: Coarse buckets of keys in each source, and fine ones in each of them.
+BUCKETS, FINE_BITS = 1 << 12, 12
 #: Marks that speak against a text; one per word cuts the weight to a fifth.
 MARKS = r"[!#$%&*|<>{}]"
 
@@ -49,18 +50,20 @@ def quality_of(text: Column, size: Column) -> Column:
     return F.when(size > 0, size / (size + 4 * marks)).otherwise(1.0)
 
 
-def key_of(doc_id: Column, weight: Column, seed: str) -> Column:
+def key_of(doc_id: Column, place: Column, weight: Column, seed: str) -> Column:
     """The exponential key; small keys come first."""
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))), 1, 13)
+    name = F.coalesce(doc_id.cast("string"), F.concat(F.lit("row "), place.cast("string")))
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name)), 1, 13)
     u = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
     return -F.ln(u) / weight
 
 
 def keyed(docs: DataFrame, mix: Mix) -> DataFrame:
-    """Documents with mix_size, mix_key and mix_bucket; buckets follow the order of the keys."""
-    size = docs.withColumn("mix_size", size_of(F.col("text")))
-    key = size.withColumn("mix_key", key_of(F.col("doc_id"), quality_of(F.col("text"), F.col("mix_size")), mix.seed))
-    return key.withColumn("mix_bucket", F.floor((1 - F.exp(-F.col("mix_key"))) * BUCKETS).cast("int"))
+    """Documents with mix_size, mix_key, mix_place and the fine mix_bucket; buckets follow the order of the keys."""
+    size = docs.withColumns({"mix_size": size_of(F.col("text")), "mix_place": F.monotonically_increasing_id()})
+    key = key_of(F.col("doc_id"), F.col("mix_place"), quality_of(F.col("text"), F.col("mix_size")), mix.seed)
+    bucket = F.floor((1 - F.exp(-F.col("mix_key"))) * (BUCKETS << FINE_BITS)).cast("int")
+    return size.withColumn("mix_key", key).withColumn("mix_bucket", bucket)
 
 
 def targets(sizes: DataFrame, mix: Mix) -> DataFrame:
@@ -87,32 +90,20 @@ def targets(sizes: DataFrame, mix: Mix) -> DataFrame:
 
 def cuts(rows: DataFrame, mix: Mix) -> DataFrame:
     """Per source: size, target, whole epochs, and the last key that the next epoch takes."""
-    buckets = rows.groupBy("source", "mix_bucket").agg(F.sum("mix_size").alias("words"))
+    coarse = F.shiftright("mix_bucket", FINE_BITS)
+    buckets = rows.groupBy("source", coarse.alias("mix_bucket")).agg(F.sum("mix_size").alias("words"))
     buckets = stage(buckets, "mix-buckets")
     goals = targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")), mix)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     goals = goals.withColumn("epochs", epochs.cast("long"))
     goals = goals.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
     goals = stage(goals, "mix-targets")
-    before = F.sum("words").over(Window.partitionBy("source").orderBy("mix_bucket")) - F.col("words")
-    reached = buckets.withColumn("before", before).alias("b").join(goals.alias("g"), common.same(F.col("b.source"), F.col("g.source")))
-    # the bucket where the budget ends: the last that begins below it
-    edge = (
-        reached.filter(F.col("before") < F.col("budget"))
-        .groupBy("b.source")
-        .agg(F.max(F.struct("mix_bucket", "before", "budget")).alias("edge"))
-        .select("source", "edge.*")
-        .withColumnRenamed("mix_bucket", "cut_bucket")
-    )
-    edge = stage(edge, "mix-edges")
-    at_edge = (
-        rows.alias("r")
-        .join(edge.alias("e"), common.same(F.col("r.source"), F.col("e.source")) & (F.col("mix_bucket") == F.col("cut_bucket")))
-        .select("r.source", "doc_id", "mix_size", "mix_key", "before", "budget")
-    )
-    place = struct_of(F.col("mix_key"), F.col("doc_id"), F.col("mix_size"))
-    until = F.sum("mix_size").over(Window.partitionBy("source").orderBy(place).rangeBetween(Window.unboundedPreceding, 0))
-    inside = at_edge.withColumn("until", F.col("before") + until).withColumn("place", place)
+    edge = bucket_of_edge(buckets, goals.withColumn("before", F.lit(0).cast("long")))
+    fine = at_edge(rows, edge, coarse).groupBy("source", "mix_bucket").agg(F.sum("mix_size").alias("words"))
+    edge = bucket_of_edge(fine, edge)
+    place = struct_of(F.col("mix_key"), F.col("doc_id"), F.col("mix_size"), F.col("mix_place"))
+    until = F.sum("mix_size").over(Window.partitionBy("source").orderBy(place).rowsBetween(Window.unboundedPreceding, 0))
+    inside = at_edge(rows, edge, F.col("mix_bucket")).withColumn("until", F.col("before") + until).withColumn("place", place)
     inside = inside.filter(2 * F.col("until") - F.col("mix_size") <= 2 * F.col("budget"))
     last = inside.groupBy("source").agg(F.max("place").alias("last"))
     return stage(
@@ -124,13 +115,31 @@ def cuts(rows: DataFrame, mix: Mix) -> DataFrame:
     )
 
 
-def struct_of(key: Column, doc_id: Column, size: Column) -> Column:
-    return F.struct(key.alias("key"), doc_id.cast("long").alias("doc_id"), size.alias("size"))
+def bucket_of_edge(buckets: DataFrame, goals: DataFrame) -> DataFrame:
+    """source, cut_bucket, before and budget: the bucket in which the budget ends, the last that begins below it.
+
+    ``goals`` has the budget of each source and what lies before its first bucket.
+    """
+    earlier = F.sum("words").over(Window.partitionBy("source").orderBy("mix_bucket")) - F.col("words")
+    own = buckets.withColumn("earlier", earlier).alias("b").join(goals.alias("g"), common.same(F.col("b.source"), F.col("g.source")))
+    own = own.select("b.source", "mix_bucket", (F.col("before") + F.col("earlier")).alias("before"), "budget")
+    edge = own.filter(F.col("before") < F.col("budget")).groupBy("source").agg(F.max(F.struct("mix_bucket", "before", "budget")).alias("edge"))
+    return stage(edge.select("source", F.col("edge.mix_bucket").alias("cut_bucket"), "edge.before", "edge.budget"), "mix-edges")
+
+
+def at_edge(rows: DataFrame, edge: DataFrame, bucket: Column) -> DataFrame:
+    """The documents of the buckets in which budgets end."""
+    ends = common.same(F.col("r.source"), F.col("e.source")) & (bucket == F.col("cut_bucket"))
+    return rows.alias("r").join(edge.alias("e"), ends).select("r.source", "doc_id", "mix_size", "mix_key", "mix_place", "mix_bucket", "before", "budget")
+
+
+def struct_of(key: Column, doc_id: Column, size: Column, place: Column) -> Column:
+    return F.struct(key.alias("key"), doc_id.cast("long").alias("doc_id"), size.alias("size"), place.alias("place"))
 
 
 def applied(rows: DataFrame, cut: DataFrame) -> DataFrame:
     """Documents with source_size, target and mix_times, the number of times the mix holds each."""
-    place = struct_of(F.col("mix_key"), F.col("doc_id"), F.col("mix_size"))
+    place = struct_of(F.col("mix_key"), F.col("doc_id"), F.col("mix_size"), F.col("mix_place"))
     chosen = (F.col("mix_bucket") < F.col("cut_bucket")) | ((F.col("mix_bucket") == F.col("cut_bucket")) & (place <= F.col("last")))
     return rows.join(cut, common.same(F.col("source"), F.col("cut_source")), "left").withColumn(
         "mix_times", F.col("epochs") + F.coalesce(chosen, F.lit(False)).cast("long")
@@ -168,7 +177,7 @@ ORACLE_SQL = """
 WITH docs AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
     len(regexp_extract_all(coalesce(text, ''), '[!#$%&*|<>{}]')) AS marks,
-    (CAST(('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13)) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+    (CAST(('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'row')), 1, 13)) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
   FROM documents),
 keys AS (SELECT *, -ln(u) / CASE WHEN size > 0 THEN size::DOUBLE / (size + 4 * marks) ELSE 1::DOUBLE END AS k FROM docs),
 sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source),

@@ -100,7 +100,7 @@ class Documents:
 
 
 def first_scan(docs: DataFrame, runs: Runs) -> DataFrame:
-    """Per row: key (doc_id, null last), n_words, hashes a and b of the words, digest of the whole, distinct anchors."""
+    """Per row: key (doc_id, null last), h (a hash of the text), n_words, hashes a and b of the words, digest of the whole, distinct anchors."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
@@ -118,12 +118,16 @@ def first_scan(docs: DataFrame, runs: Runs) -> DataFrame:
             fresh[1:] = (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])
             lists = common.list_array(pa.array(common.signed(anchor[fresh])), np.bincount(owner[fresh], minlength=batch.num_rows))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(own.words.counts.astype(np.int64)), pa.array(common.signed(a)), pa.array(common.signed(b)), pa.array(whole), lists],
-                ["key", "n_words", "a", "b", "whole", "anchors"],
+                [batch.column("key"), batch.column("h"), pa.array(own.words.counts.astype(np.int64)), pa.array(common.signed(a)), pa.array(common.signed(b)), pa.array(whole), lists],
+                ["key", "h", "n_words", "a", "b", "whole", "anchors"],
             )
 
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key"), "text")
-    return keyed.mapInArrow(scan, "key long, n_words long, a long, b long, whole string, anchors array<long>")
+    return keyed(docs).mapInArrow(scan, "key long, h long, n_words long, a long, b long, whole string, anchors array<long>")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Texts with what they are found again by: rows without doc_id, which all have one key, are told apart by a hash."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key"), F.xxhash64("text").alias("h"), "text")
 
 
 def second_scan(texts: DataFrame, runs: Runs) -> DataFrame:
@@ -173,15 +177,14 @@ def dedup(docs: DataFrame, runs: Runs = Runs()) -> DataFrame:
     rows = stage(first_scan(docs, runs), "run-documents")
     first = stage(rows.filter(F.col("n_words") >= runs.size).groupBy("a", "b", "n_words").agg(F.min("key").alias("first")), "run-first")
     rows = rows.join(first, ["a", "b", "n_words"], "left")
-    own = rows.filter(F.col("key") == F.col("first")).select("key", "a", "b", F.explode("anchors").alias("anchor"))
+    own = rows.filter(F.col("key") == F.col("first")).select("key", "h", "a", "b", F.explode("anchors").alias("anchor"))
     own = stage(own.distinct(), "run-anchors")
     shared = own.groupBy("anchor").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high").select("anchor")
     shared = stage(shared, "run-shared")
-    wanted = own.join(shared, "anchor").groupBy("key", "a", "b").agg(F.collect_list("anchor").alias("shared"))
+    wanted = own.join(shared, "anchor").groupBy("key", "h", "a", "b").agg(F.collect_list("anchor").alias("shared"))
     wanted = stage(wanted, "run-wanted")
 
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("key"), "text")
-    texts = stage(_own_texts(keyed.join(wanted, "key"), runs), "run-texts")
+    texts = stage(_own_texts(keyed(docs).join(wanted, ["key", "h"]), runs), "run-texts")
     found = stage(second_scan(texts, runs), "run-hashes")
     least = found.groupBy("x", "y").agg(F.min("key").alias("least"), F.max("key").alias("high")).filter("least < high")
     least = stage(least.select("x", "y", "least"), "run-least")

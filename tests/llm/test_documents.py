@@ -57,6 +57,17 @@ def test_passages_of_hard_texts(documents, size):
     assert sorted(map(tuple, found), key=str) == without_passages(rows, size)
 
 
+def test_passages_of_many_rows_without_id(documents, monkeypatch):
+    """Each text meets its own anchors alone, though all have one key."""
+    passage = " ".join(f"shared{k}" for k in range(60))
+    rows = [(None, f"{passage} own{i} " * 2, "s") for i in range(150)] + [(3, passage, "s")]
+    sent, own_texts = [], substring._own_texts
+    monkeypatch.setattr(substring, "_own_texts", lambda joined, runs: sent.append(joined.count()) or own_texts(joined, runs))
+    found = substring.dedup(documents(*rows)).collect()
+    assert sorted(map(tuple, found), key=str) == without_passages(rows, 50)
+    assert sent == [151]
+
+
 def test_passages_of_a_table(table):
     found = substring.dedup(table("documents")).collect()
     assert sorted(map(tuple, found), key=str) == without_passages(texts_of(table), 50)
@@ -340,13 +351,26 @@ def check_mix(rows, found):
 
 
 def test_mix_of_hard_texts(documents):
-    rows = [r for r in hard_texts() if r != (6, hard_texts()[6][1], "c")]
+    rows = hard_texts()
     found = mixing.mix(documents(*rows)).collect()
     assert len(found) == len(rows)
     check_mix(rows, found)
     assert found == mixing.mix(documents(*rows)).collect() or sorted(found, key=str) == sorted(mixing.mix(documents(*rows)).collect(), key=str)
 
 
+def test_mix_of_equal_rows_without_id(spark, documents, tmp_path):
+    """Rows that nothing tells apart are taken one by one, by their place in the files."""
+    rows = [(None, "four words are here", "x")] * 1000 + [(i, "four more words here", "y") for i in range(200)] + [(7, "a b", "z")] * 300
+    documents(*rows).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    found = mixing.mix(docs).collect()
+    check_mix(rows, found)
+    assert 0 < sum(r["source"] == "x" and r["times"] == 1 for r in found) < 1000
+    assert sorted(map(tuple, mixing.mix(docs).collect()), key=str) == sorted(map(tuple, found), key=str)
+    made = collections.Counter(r["source"] for r in mixing.copies(docs).collect())
+    assert made == {s: sum(r["times"] for r in found if r["source"] == s) for s in "xyz"}
+
+
 def test_mix_of_a_table(table):
     found = mixing.mix(table("documents")).collect()
     check_mix(texts_of(table), found)
