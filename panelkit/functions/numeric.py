@@ -79,9 +79,13 @@ def mean_from_units(units: Column, count: Column, scale: int) -> Column:
 def mean(value: Column, scale: int | None = None) -> Column:
     """Average that ignores NULL and does not depend on the order of rows.
 
-    The sum is exact in decimals of 18 places; what does not fit them raises. With ``scale`` values are first rounded
-    to so many places.
+    The sum is exact in decimals of 18 places. A value that is too large for them raises, and so does one of which they
+    lose more than a part in 10^12; ``exact.exact_mean`` takes all values. With ``scale`` values are first rounded to so
+    many places.
     """
     if scale is None:
-        return F.try_divide(F.sum(value.cast("decimal(38,18)")).cast("double"), F.count(value))
+        places = value.cast("decimal(38,18)")
+        lost = F.bool_or(F.abs(places.cast("double") - value) > 1e-12 * F.abs(value))
+        problem = F.raise_error(F.lit("a value is too small for 18 decimal places")).cast("double")
+        return F.when(lost, problem).otherwise(F.try_divide(F.sum(places).cast("double"), F.count(value)))
     return mean_from_units(F.sum(fixed_point(value, scale)), F.count(value), scale)

@@ -55,6 +55,12 @@ def test_mean_keeps_small_and_large_values(rows):
         rows("x double", (1e25,)).agg(numeric.mean(X)).first()
 
 
+def test_mean_notices_what_it_would_lose(rows):
+    with pytest.raises(Exception, match="too small"):
+        rows("x double", (1.0,), (1e-20,)).agg(numeric.mean(X)).first()
+    assert rows("x double", (0.0012345678901234567,), (0.0,)).agg(numeric.mean(X)).first()[0] == pytest.approx(0.0012345678901234567 / 2)
+
+
 def test_mean_of_rounded_values(rows):
     df = rows("x double", (0.1,), (0.2,), (0.6,), (None,))
     assert df.filter("x is null").agg(numeric.mean(X, 1)).first()[0] is None
