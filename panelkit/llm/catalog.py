@@ -24,6 +24,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_spelling_trees": spelling.op13,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op2_inverted_multi_index": inverted_index.ORACLE_SQL,
+    "op3_nn_descent": nn_descent.ORACLE_SQL,
     "op4_source_mixing": mixing.ORACLE_SQL,
     "op6_signature_trees": signature_trees.ORACLE_SQL,
     "op7_substring_dedup": substring.ORACLE_SQL,

@@ -283,3 +283,20 @@ def near_duplicates(rows: DataFrame, how: Links = Links()) -> DataFrame:
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.table(spark, sf_dir, "embeddings"))
+
+
+ORACLE_SQL = """
+WITH RECURSIVE given AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (
+  SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM given
+  WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
+reached(vec_id, other) AS (SELECT a, b FROM links UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+named AS (SELECT vec_id, min(other) AS other FROM reached GROUP BY vec_id),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT g.vec_id, coalesce(c.n, 0) AS n_links, least(g.vec_id, coalesce(m.other, g.vec_id)) AS component_id,
+  least(g.vec_id, coalesce(m.other, g.vec_id)) = g.vec_id AS kept
+FROM given g LEFT JOIN counted c USING (vec_id) LEFT JOIN named m USING (vec_id)
+"""

@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelkit.llm import inverted_index, nn_descent
+import harness
+from panelkit.llm import catalog, inverted_index, nn_descent
 
 from .conftest import components
 
@@ -147,3 +148,11 @@ def test_true_neighbours_of_a_sample(spark):
     found = nn_descent.exact_top(distinct, [(0, rows[0][1]), (100, rows[50][1])], 8, 2)
     assert sorted(found[0]) == sorted(j for j, _ in next(brute_neighbours(usable(rows, 8), lambda i: i == 0, 2))[1])
     assert sorted(found[100]) == [101, 102]
+
+
+@pytest.mark.parametrize("name", ["op2_inverted_multi_index", "op3_nn_descent"])
+def test_query_equals_sql(spark, name):
+    """Of 500 vectors everything is found, to the last bit of the score."""
+    sf_dir = "/root/testdata/sf0.01"
+    ours = harness.spark_rows(catalog.QUERIES[name](spark, sf_dir))
+    assert harness.difference(ours, harness.duck_rows(harness.duck(sf_dir), catalog.ORACLE_SQL[name])) is None
