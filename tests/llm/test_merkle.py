@@ -6,7 +6,6 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-import harness
 from panelkit.llm import merkle
 
 from .conftest import hard_texts
@@ -73,11 +72,6 @@ def test_of_a_table(spark):
     assert found.filter("NOT verified").count() == sum(no_line_ends(r) != r["text"] for r in docs) > 20
 
 
-def test_query_equals_sql(spark):
-    sf_dir = "/root/testdata/sf0.01"
-    assert harness.difference(harness.spark_rows(merkle.op11(spark, sf_dir)), harness.duck_rows(harness.duck(sf_dir), merkle.ORACLE_SQL)) is None
-
-
 @pytest.mark.parametrize("shape", [merkle.Shape(), merkle.Shape(depth=1), merkle.Shape(fan=2, depth=2), merkle.Shape(fan=5, depth=1)])
 def test_of_hard_texts_in_rounds(documents, shape):
     docs = documents(*hard_texts(), *((20 + i, f"line {i}\n" * (i % 3), "b") for i in range(40)), *[(99, "the same", "a")] * 7)

@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-import harness
 from panelkit.llm import spelling
 from panelkit.llm.spelling import Spelling, Tree
 
@@ -99,11 +98,6 @@ def test_variants_of_a_table(spark):
     assert sum(r[1] is not None for r in expected) > 10
 
 
-def test_query_equals_sql(spark):
-    sf_dir = "/root/testdata/sf0.01"
-    assert harness.difference(harness.spark_rows(spelling.op13(spark, sf_dir)), harness.duck_rows(harness.duck(sf_dir), spelling.ORACLE_SQL)) is None
-
-
 def test_no_words(documents):
     assert spelling.variants(documents()).count() == 0
     assert spelling.variants(documents((1, None, "a"), (2, "a b c", "a"))).count() == 0
